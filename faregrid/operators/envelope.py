@@ -83,31 +83,39 @@ def decode_payload(envelope: DataFrame) -> DataFrame:
 
     Money is rounded to cents. Missing values are left to the row rules, which
     send such rows to the dead letters.
+
+    Both steps go through ``inline`` of a one-element array: a filter on the
+    typed columns is then not rewritten in terms of the payload, which would
+    parse the JSON again for every rule.
     """
-    trip = F.from_json("raw_json", PAYLOAD_SCHEMA)
 
     def moment(name: str) -> Column:
-        return F.try_to_timestamp(F.col(f"trip.{name}"), F.lit(PAYLOAD_TIME_FORMAT)).cast(
-            "timestamp_ntz"
-        )
+        text = F.try_to_timestamp(F.col(name), F.lit(PAYLOAD_TIME_FORMAT))
+        return text.cast("timestamp_ntz").alias(name)
 
     def money(name: str) -> Column:
-        return F.round(nan_to_null(F.col(f"trip.{name}")), 2)
-
-    return envelope.withColumn("trip", trip).select(
-        F.col("trip.vendor_id").alias("vendor_id"),
-        moment("pickup_datetime").alias("pickup_datetime"),
-        moment("dropoff_datetime").alias("dropoff_datetime"),
-        nan_to_null(F.col("trip.passenger_count")).try_cast("int").alias("passenger_count"),
-        nan_to_null(F.col("trip.trip_distance")).alias("trip_distance"),
-        F.col("trip.pickup_location_id").alias("pickup_location_id"),
-        F.col("trip.dropoff_location_id").alias("dropoff_location_id"),
-        money("fare_amount").alias("fare_amount"),
-        money("tip_amount").alias("tip_amount"),
-        money("total_amount").alias("total_amount"),
-        F.col("trip.payment_type").alias("payment_type"),
-        "kafka_partition",
-        "kafka_offset",
-        "ingestion_timestamp",
-        F.current_timestamp().alias("silver_timestamp"),
+        return F.round(nan_to_null(F.col(name)), 2).alias(name)
+
+    origin = ["kafka_partition", "kafka_offset", F.col("ingestion_timestamp").alias("arrived")]
+    fields = envelope.select(
+        *origin, F.inline(F.array(F.from_json("raw_json", PAYLOAD_SCHEMA)))
+    )
+    typed = F.struct(
+        "vendor_id",
+        moment("pickup_datetime"),
+        moment("dropoff_datetime"),
+        nan_to_null(F.col("passenger_count")).try_cast("int").alias("passenger_count"),
+        nan_to_null(F.col("trip_distance")).alias("trip_distance"),
+        "pickup_location_id",
+        "dropoff_location_id",
+        money("fare_amount"),
+        money("tip_amount"),
+        money("total_amount"),
+        "payment_type",
+    )
+    decoded = fields.select(
+        F.inline(F.array(typed)), "kafka_partition", "kafka_offset", "arrived"
+    )
+    return decoded.withColumnRenamed("arrived", "ingestion_timestamp").withColumn(
+        "silver_timestamp", F.current_timestamp()
     )

@@ -103,13 +103,18 @@ def rows_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataF
     return spark.createDataFrame(rows, schema)
 
 
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value).upper() if isinstance(value, bool) else repr(value)
+
+
 def values_table(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str]) -> DataFrame:
-    """Inline VALUES table with named columns; values are bound, not pasted."""
-    marks = ", ".join("(" + ", ".join("?" for _ in row) + ")" for row in rows)
-    return spark.sql(
-        f"SELECT * FROM VALUES {marks} AS t({', '.join(columns)})",
-        args=[value for row in rows for value in row],
-    )
+    """Inline VALUES table with named columns; the planner knows its exact size."""
+    cells = ", ".join("(" + ", ".join(map(_literal, row)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {cells} AS t({', '.join(columns)})")
 
 
 def calendar_days(bounds: DataFrame, first: str = "first_day", last: str = "last_day") -> DataFrame:

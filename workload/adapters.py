@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faregrid.operators.envelope import encode_payload
-from faregrid.session import staged
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +20,9 @@ def _cents(value: Column) -> Column:
     return F.round(value, 2)
 
 
-def metered_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def metered_bronze(
+    spark: SparkSession, sf_dir: str, keep: dict[str, Column] | None = None
+) -> DataFrame:
     """``lineitem`` as metered trips; every fifth-line trip has no passenger count."""
     lines = table(spark, sf_dir, "lineitem")
     hours = ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 24).cast("int")
@@ -51,9 +52,28 @@ def metered_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("double").alias("airport_fee"),
         F.year("l_shipdate").alias("puYear"),
         F.month("l_shipdate").alias("puMonth"),
+        *[column.alias(name) for name, column in (keep or {}).items()],
     )
 
 
+def metered_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metered trips of which every third line was delivered twice, with a larger tip."""
+    trips = metered_bronze(spark, sf_dir, keep={"line": F.col("l_linenumber")})
+    again = trips.filter(F.col("line") % 3 == 0).withColumn(
+        "tip_amount", F.round(F.col("tip_amount") + 1, 2)
+    )
+    return trips.unionByName(again).drop("line")
+
+
+def ride_hail_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ride-hail trips of which those of the shared kind were delivered twice."""
+    trips = ride_hail_bronze(spark, sf_dir)
+    again = trips.filter(F.col("shared_request_flag") == "Y").withColumn(
+        "tips", F.round(F.col("tips") + 1, 2)
+    )
+    return trips.unionByName(again)
+
+
 def ride_hail_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as ride-hail trips, moved back in time to overlap the metered fleet."""
     events = table(spark, sf_dir, "events")
@@ -147,30 +167,39 @@ def station_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metered trips as topic messages.
+    """Metered trips as topic messages, every third line sent twice.
 
     Every 17th zone sends text that is not JSON, every 19th a wrong type for one
     field, every 23rd a number JSON does not know, every 29th a bad time.
     """
-    trips = metered_bronze(spark, sf_dir)
-    keyed = trips.withColumns(
+    line = F.col("l_linenumber")
+    keys = {
+        "line": line,
+        "partition": (F.col("l_suppkey") % 3).cast("int"),
+        "offset": F.col("l_orderkey") * 8 + line,
+    }
+    once = metered_bronze(spark, sf_dir, keep=keys)
+    again = once.filter(F.col("line") % 3 == 0).withColumns(
         {
-            "partition": (F.col("PULocationID") % 3).cast("int"),
-            "offset": F.xxhash64(*trips.columns),
+            "tip_amount": F.round(F.col("tip_amount") + 1, 2),
+            "offset": F.col("offset") + 10_000_000_000,
         }
     )
     encoded = encode_payload(
-        keyed,
+        once.unionByName(again),
         stamp=F.date_format("tpep_dropoff_datetime", "yyyy-MM-dd'T'HH:mm:ss"),
         keep=["partition", "offset", "tpep_dropoff_datetime", "PULocationID"],
     )
-    zone = F.col("PULocationID")
-    payload = F.col("raw_json")
+    zone, payload = F.col("PULocationID"), F.col("raw_json")
+
+    def swapped(field: str, old: str, new: str) -> Column:
+        return F.regexp_replace(payload, f'"{field}":{old}', f'"{field}":{new}')
+
     broken = (
         F.when(zone % 17 == 16, F.concat(F.lit("lost "), payload))
-        .when(zone % 19 == 18, F.regexp_replace(payload, '"fare_amount":[0-9.]+', '"fare_amount":"n/a"'))
-        .when(zone % 23 == 22, F.regexp_replace(payload, '"trip_distance":[0-9.]+', '"trip_distance":NaN'))
-        .when(zone % 29 == 28, F.regexp_replace(payload, '"pickup_datetime":"[^"]+"', '"pickup_datetime":"NaT"'))
+        .when(zone % 19 == 18, swapped("fare_amount", "[0-9.]+", '"n/a"'))
+        .when(zone % 23 == 22, swapped("trip_distance", "[0-9.]+", "NaN"))
+        .when(zone % 29 == 28, swapped("pickup_datetime", '"[^"]+"', '"NaT"'))
         .otherwise(payload)
     )
     return encoded.select(
@@ -249,8 +278,3 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("question_id"), text.alias("question")
     )
-
-
-def staged_hourly(spark: SparkSession, hourly: DataFrame, label: str = "weather") -> DataFrame:
-    """The hourly table as a stored table, as the lake keeps it between jobs."""
-    return staged(hourly, label)
