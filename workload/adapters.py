@@ -20,16 +20,27 @@ def _cents(value: Column) -> Column:
     return F.round(value, 2)
 
 
+def _computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that filters further up do not recompute.
+
+    Real drops carry these as stored columns; here they are derived, and a plain
+    projection would be substituted into every rule that mentions them.
+    """
+    cells = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(cells)))
+
+
 def metered_bronze(
     spark: SparkSession, sf_dir: str, keep: dict[str, Column] | None = None
 ) -> DataFrame:
     """``lineitem`` as metered trips; every fifth-line trip has no passenger count."""
     lines = table(spark, sf_dir, "lineitem")
+    lines = _computed_once(lines, fare=_cents(F.col("l_extendedprice") / 100))
+    lines = _computed_once(lines, tip=_cents(F.col("fare") * F.col("l_tax")))
+    lines = _computed_once(lines, total=_cents(F.col("fare") + F.col("tip")))
     hours = ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 24).cast("int")
     pickup = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), hours)
     dropoff = pickup + F.make_dt_interval(F.lit(0), F.lit(0), F.col("l_quantity").cast("int"))
-    fare = _cents(F.col("l_extendedprice") / 100)
-    tip = _cents(fare * F.col("l_tax"))
     return lines.select(
         (F.col("l_orderkey") % 2 + 1).alias("VendorID"),
         pickup.alias("tpep_pickup_datetime"),
@@ -45,9 +56,9 @@ def metered_bronze(
         .otherwise(4)
         .cast("bigint")
         .alias("payment_type"),
-        fare.alias("fare_amount"),
-        tip.alias("tip_amount"),
-        _cents(fare + tip).alias("total_amount"),
+        F.col("fare").alias("fare_amount"),
+        F.col("tip").alias("tip_amount"),
+        F.col("total").alias("total_amount"),
         F.col("l_discount").alias("congestion_surcharge"),
         F.lit(None).cast("double").alias("airport_fee"),
         F.year("l_shipdate").alias("puYear"),
@@ -76,7 +87,12 @@ def ride_hail_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ride_hail_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as ride-hail trips, moved back in time to overlap the metered fleet."""
-    events = table(spark, sf_dir, "events")
+    events = _computed_once(
+        table(spark, sf_dir, "events"),
+        miles=_cents(F.col("value") / 3),
+        tips=_cents(F.col("value") * (F.col("event_id") % 5) / 50),
+        pay=_cents(F.col("value") * 3 / 4),
+    )
     days = (8400 + F.col("event_id") % 6 * 365 + F.col("user_id") % 12 * 30).cast("int")
     pickup = F.col("ts") - F.make_dt_interval(days)
     seconds = F.floor(F.col("value") * 60).cast("bigint")
@@ -99,11 +115,11 @@ def ride_hail_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.col("user_id").alias("PULocationID"),
         (F.col("event_id") % 300).alias("DOLocationID"),
-        _cents(F.col("value") / 3).alias("trip_miles"),
+        F.col("miles").alias("trip_miles"),
         seconds.alias("trip_time"),
         F.col("value").alias("base_passenger_fare"),
-        _cents(F.col("value") * (F.col("event_id") % 5) / 50).alias("tips"),
-        _cents(F.col("value") * 3 / 4).alias("driver_pay"),
+        "tips",
+        F.col("pay").alias("driver_pay"),
         flag(7).alias("shared_request_flag"),
         flag(21).alias("shared_match_flag"),
         flag(11).alias("wav_request_flag"),
