@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faregrid.operators import routing, textaudit
-from faregrid.plans import answers, gold, questions, summary
-from faregrid.session import staged
-from faregrid.sources import catalogue
+from faregrid.plans import answers, gold, jobs, questions, summary
+from faregrid.session import scratch_path, staged
+from faregrid.sources import catalogue, sinks
 from workload import adapters, inputs
 from workload import oracle as o
 from workload.registry import query
@@ -131,6 +131,34 @@ def all_summaries(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query(
+    "k4_k7_lake_jobs_served",
+    o.sql(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, {o.n()} AS rows FROM {source}"
+            for name, source in (SUMMARY_CTES | {"fact_trips_yellow": "fact", "dim_zone": "zones"}).items()
+        ),
+        *SUMMARY_CTES.values(),
+        "fact",
+        "zones",
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """All jobs from bronze to the served views, each reading the tables of the one before."""
+    lake = jobs.Lake(scratch_path(spark, "lake"))
+    lake.write(adapters.metered_bronze(spark, sf), "bronze/metered", sinks.PARTITIONS)
+    lake.write(adapters.ride_hail_bronze(spark, sf), "bronze/ride_hail", sinks.PARTITIONS)
+    jobs.weather_job(spark, lake, adapters.station_reports(spark, sf))
+    jobs.metered_silver_job(spark, lake)
+    jobs.ride_hail_silver_job(spark, lake)
+    jobs.enrich_job(spark, lake)
+    jobs.gold_job(spark, lake, adapters.zones(spark, sf), "1995-01-01", "2001-12-31")
+    jobs.summary_job(spark, lake)
+    served, _missing = jobs.serve(spark, lake)
+    wanted = [*SUMMARY_CTES, "fact_trips_yellow", "dim_zone"]
+    return catalogue.profile({name: spark.table(name) for name in wanted if name in served})
+
+
 @query("a7_weather_summary_from_cells", o.sql("SELECT * FROM weather_rollup", "weather_rollup"))
 def _(spark: SparkSession, sf: str) -> DataFrame:
     return _stored_summaries(spark, sf)["weather_summary"]
