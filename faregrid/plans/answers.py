@@ -1,15 +1,28 @@
 """Answer tables derived from the summary tables.
 
 Where an answer is defined as the plain mean of already rounded averages, it
-keeps that definition; ``weighted_*`` gives the trip-weighted form.
+keeps that definition; ``trip_weighted`` gives the form weighted by trips.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faregrid.functions.measures import Measure, exact_mean, mean
+from faregrid.functions.measures import (
+    FARE,
+    TIP,
+    TOTAL,
+    Measure,
+    exact_mean,
+    mean,
+    mean_ratio_percent,
+    total,
+    trips,
+)
+from faregrid.operators.tally import merge, present, tally
 from faregrid.plans.summary import METERED_LABEL
 
 TOP_ZONES = 20
@@ -145,6 +158,27 @@ def yearly_tips(monthly: DataFrame) -> DataFrame:
     ).orderBy("year")
 
 
+def trip_weighted(source: DataFrame, keys: Sequence[str], tallied: bool = False) -> DataFrame:
+    """Trips, means, revenue and tip share per group, every trip counting once.
+
+    Takes the fact, or cells that were tallied before; the measures have names of
+    their own so that they are not taken for the unweighted answers.
+    """
+    measures = (FARE, TIP, TOTAL)
+    rows = merge(source, keys, measures) if tallied else tally(source, keys, measures)
+    return present(
+        rows,
+        keys,
+        {
+            "total_trips": trips(),
+            "trip_avg_fare": mean(FARE),
+            "trip_avg_tip": mean(TIP),
+            "trip_tip_pct": mean_ratio_percent(TIP, FARE),
+            "total_revenue": total(TOTAL, 0),
+        },
+    )
+
+
 def period_collapse(fact: DataFrame, before: tuple[int, int], after: tuple[int, int]) -> DataFrame:
     """Trips of two (year, month) periods and the fall between them."""
 

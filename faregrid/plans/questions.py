@@ -50,7 +50,7 @@ def recovery_month(
 
     monthly = fact.groupBy("year", "month").agg(F.count(F.lit(1)).alias("trips"))
     numbered = monthly.withColumn("nr", F.col("year") * 12 + F.col("month") - 1)
-    # months are few: everything below runs on one row per month
+    # one row per calendar month from here on, so the list has a dozen entries a year
     found = numbered.agg(
         F.max(F.when(F.col("nr") == number(base), F.col("trips"))).alias("base_trips"),
         F.max(F.when(F.col("nr") == number(trough), F.col("trips"))).alias("trough_trips"),

@@ -7,7 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faregrid.functions.measures import FARE, TIP, TOTAL
 from faregrid.operators import routing, textaudit
+from faregrid.operators.lookups import with_zone
+from faregrid.operators.tally import tally
 from faregrid.plans import answers, gold, jobs, questions, summary
 from faregrid.session import scratch_path, staged
 from faregrid.sources import catalogue, sinks
@@ -90,7 +93,7 @@ def _stored_summaries(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """All summaries from cells that were written once."""
     cells = staged(summary.summary_cells(_metered(spark, sf, with_hours=True)), "cells")
     hail = staged(summary.ride_hail_cells(inputs.ride_hail_fact(spark, sf)), "hail-cells")
-    return summary.all_summaries(cells, hail, adapters.zones(spark, sf))
+    return summary.all_summaries(cells, hail, staged(adapters.zones(spark, sf), "zones"))
 
 
 SUMMARY_CTES = {
@@ -307,6 +310,57 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return answers.yearly_tips(_monthly(spark, sf))
 
 
+WEIGHTED = f"""{o.n()} AS total_trips, {o.mean("fare_amount")} AS trip_avg_fare,
+  {o.mean("tip_amount")} AS trip_avg_tip, {o.TIP_PCT} AS trip_tip_pct, {o.TOTAL_REVENUE}"""
+
+
+@query(
+    "q5_rain_trip_weighted",
+    o.sql(
+        f"SELECT {o.RAIN_BUCKET} AS rain_bucket, {WEIGHTED} FROM fact GROUP BY rain_bucket", "fact"
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return answers.trip_weighted(
+        summary.with_buckets(_metered(spark, sf, with_hours=True)), ["rain_bucket"]
+    )
+
+
+@query(
+    "q6_rush_hour_trip_weighted",
+    o.sql(f"SELECT is_rush_hour, is_weekend, {WEIGHTED} FROM fact GROUP BY 1, 2", "fact"),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return answers.trip_weighted(_metered(spark, sf), ["is_rush_hour", "is_weekend"])
+
+
+@query(
+    "q7_payment_trip_weighted",
+    o.sql(f"SELECT payment_type, {WEIGHTED} FROM fact GROUP BY payment_type", "fact"),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return answers.trip_weighted(_metered(spark, sf), ["payment_type"])
+
+
+@query(
+    "q8_borough_trip_weighted",
+    o.sql(f"SELECT borough, {WEIGHTED} FROM located GROUP BY borough", "located"),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    measures = (FARE, TIP, TOTAL)
+    cells = tally(_metered(spark, sf), ["pickup_location_id"], measures)
+    located = with_zone(cells, adapters.zones(spark, sf).select("location_id", "borough"), "pickup")
+    return answers.trip_weighted(located, ["borough"], tallied=True)
+
+
+@query(
+    "q10_year_trip_weighted",
+    o.sql(f"SELECT year, {WEIGHTED} FROM fact GROUP BY year", "fact"),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    return answers.trip_weighted(_metered(spark, sf), ["year"])
+
+
 @query(
     "q11_borough_fare_route",
     o.sql("SELECT * FROM boroughs ORDER BY year, borough NULLS FIRST LIMIT 100", "boroughs"),

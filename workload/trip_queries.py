@@ -435,6 +435,25 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     return conform.conform(drifted, conform.METERED_TYPES)
 
 
+@query(
+    "p4_conform_ride_hail",
+    'SELECT event_type, user_id AS "PULocationID", event_id AS "DOLocationID", '
+    "CAST(floor(value) AS BIGINT) AS trip_time, CAST(NULL AS DOUBLE) AS airport_fee, "
+    "value AS congestion_surcharge, CAST(event_id % 2 AS VARCHAR) AS wav_match_flag FROM events",
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Narrow ids and times, a flag stored as a number, no airport fee."""
+    drifted = adapters.table(spark, sf, "events").select(
+        "event_type",
+        F.col("user_id").cast("int").alias("pulocationid"),
+        F.col("event_id").cast("int").alias("DOLocationID"),
+        F.floor("value").cast("int").alias("trip_time"),
+        F.col("value").alias("congestion_surcharge"),
+        (F.col("event_id") % 2).cast("int").alias("wav_match_flag"),
+    )
+    return conform.conform(drifted, conform.RIDE_HAIL_TYPES)
+
+
 @query(
     "p6_company",
     o.sql(
