@@ -29,7 +29,3 @@ def coded(value: Column, labels: Mapping, default) -> Column:
         out = out.when(value == F.lit(code), F.lit(label))
     return out.otherwise(F.lit(default))
 
-
-def guarded_ratio(top: Column, bottom: Column) -> Column:
-    """``top / bottom``, NULL when the bottom is zero."""
-    return F.try_divide(top, bottom)

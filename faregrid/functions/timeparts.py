@@ -14,6 +14,7 @@ FIRST_WEEKDAY, LAST_WEEKDAY = 2, 6
 DATE_KEY_FORMAT = "yyyyMMdd"
 DATE_TEXT_FORMAT = "yyyy-MM-dd"
 PAYLOAD_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+PAYLOAD_TIME_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
 
 # Inclusive hour ranges of the named parts of a day.
 DAY_PARTS = (("Morning", 6, 11), ("Afternoon", 12, 16), ("Evening", 17, 20))

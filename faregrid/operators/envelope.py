@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faregrid.functions.cleaning import nan_to_null
-from faregrid.functions.timeparts import PAYLOAD_TIME_FORMAT
+from faregrid.functions.timeparts import PAYLOAD_TIME_FORMAT, PAYLOAD_TIME_PATTERN
 
 # The twelve fields of a trip message.
 PAYLOAD_SCHEMA = T.StructType(
@@ -90,8 +90,9 @@ def decode_payload(envelope: DataFrame) -> DataFrame:
     """
 
     def moment(name: str) -> Column:
-        text = F.try_to_timestamp(F.col(name), F.lit(PAYLOAD_TIME_FORMAT))
-        return text.cast("timestamp_ntz").alias(name)
+        # only the exact format counts; the plain cast alone would take more forms
+        text = F.when(F.col(name).rlike(PAYLOAD_TIME_PATTERN), F.col(name))
+        return text.try_cast("timestamp_ntz").alias(name)
 
     def money(name: str) -> Column:
         return F.round(nan_to_null(F.col(name)), 2).alias(name)

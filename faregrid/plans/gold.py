@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faregrid.functions import labels, timeparts, tripmath
+from faregrid.operators.dedup import distinct_columns
 
 METERED_TAG = "yellow"
 RIDE_HAIL_TAG = "fhvhv"
@@ -160,7 +161,7 @@ def star_fact(staged: DataFrame) -> DataFrame:
 
 def star_clock(staged: DataFrame) -> DataFrame:
     """Hours that occur in the trips, named by month and part of the day."""
-    seen = staged.filter(F.col("pickup_datetime").isNotNull()).select(*CLOCK_COLUMNS).distinct()
+    seen = distinct_columns(staged.filter(F.col("pickup_datetime").isNotNull()), CLOCK_COLUMNS)
     return seen.withColumns(
         {
             "month_name": timeparts.month_name(F.col("pickup_month")),
@@ -175,10 +176,8 @@ def star_weather(staged: DataFrame) -> DataFrame:
     Readings have one decimal, hence whole tenths: the sums are exact.
     """
     readings = ("weather_temp_c", "weather_precip_mm", "weather_wind_kmh")
-    seen = (
-        staged.filter(F.col("weather_condition").isNotNull())
-        .select("weather_condition", *readings)
-        .distinct()
+    seen = distinct_columns(
+        staged.filter(F.col("weather_condition").isNotNull()), ["weather_condition", *readings]
     )
 
     def tenths_mean(name: str) -> Column:

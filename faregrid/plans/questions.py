@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from faregrid.functions import labels
 from faregrid.functions.measures import DISTANCE, FARE, ROWS, TIP, mean, trips
-from faregrid.operators.lookups import dimension_rollup
+from faregrid.operators.lookups import dimension_rollup, with_calendar
 from faregrid.operators.tally import merge, present, tally
 
 METERED_NAME = "yellow"
@@ -176,7 +176,7 @@ def trips_between_boroughs(fact: DataFrame, zones: DataFrame) -> DataFrame:
 def trips_by_calendar(fact: DataFrame, calendar: DataFrame, attribute: str) -> DataFrame:
     """Trips per calendar attribute; the fact is counted per day before the join."""
     days = tally(fact, ["date_key"], [FARE])
-    located = days.join(calendar.select("date_key", attribute), "date_key")
+    located = with_calendar(days, calendar, [attribute])
     return present(
         merge(located, [attribute], [FARE]), [attribute], {"trips": trips(), "avg_fare": mean(FARE)}
     )

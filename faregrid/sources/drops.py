@@ -124,14 +124,37 @@ def ingest(
     """Land all readable drops with one write and return the report.
 
     Every drop replaces its own (year, month) partition, so a repeated run does
-    not add rows twice.
+    not add rows twice. Should the common write fail, because a drop with a good
+    footer holds damaged pages, the drops are landed one by one and only the
+    damaged ones are reported as failed.
     """
     seen = inspect(spark, drops)
-    if not seen.schemas:
-        return ingest_report(spark, seen, None)
-    rows = read_drops(spark, seen, types, month_pattern)
-    replace_partitions(rows, target, PARTITIONS, fmt)
-    return ingest_report(spark, seen, spark.read.format(fmt).load(target))
+    if seen.schemas:
+        try:
+            rows = read_drops(spark, seen, types, month_pattern)
+            replace_partitions(rows, target, PARTITIONS, fmt)
+        except Exception:  # which drop it was shows when each is landed alone
+            _land_one_by_one(spark, seen, types, target, month_pattern, fmt)
+    landed = len(seen.failures) < len(seen.drops)
+    return ingest_report(spark, seen, spark.read.format(fmt).load(target) if landed else None)
+
+
+def _land_one_by_one(
+    spark: SparkSession,
+    seen: Inspected,
+    types: Mapping[str, T.DataType],
+    target: str,
+    month_pattern: str,
+    fmt: str,
+) -> None:
+    every = {f.name: f.dataType for f in scan_schema(seen.schemas.values(), types).fields}
+    for drop, schema in list(seen.schemas.items()):
+        alone = Inspected([drop], {drop: schema}, {})
+        try:
+            rows = conform(read_drops(spark, alone, types, month_pattern), every)
+            replace_partitions(rows, target, PARTITIONS, fmt)
+        except Exception as problem:
+            seen.failures[drop] = str(problem).splitlines()[0]
 
 
 def partition_audit(table: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PARTITIONS = ("puYear", "puMonth")
@@ -52,27 +52,26 @@ def replace_all(
     writer.save(path)
 
 
+def stored_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
+    """Rows of a stored table, from its footers.
+
+    Counting what was written stays right when tasks were repeated after a lost
+    executor, and costs no second run of the plan that produced the rows.
+    """
+    return spark.read.format(fmt).load(path).count()
+
+
 def write_dead_letters(
     rejected: DataFrame, path: str, fmt: str = "parquet", skip_empty: bool = False
 ) -> int:
     """Write failed rows with their flags; returns how many there were.
 
-    The count is observed while writing, so the rows are computed once. With
-    ``skip_empty`` a probe for the first row decides whether to write at all.
+    With ``skip_empty`` a probe for the first row decides whether to write at all.
     """
     if skip_empty and rejected.isEmpty():
         return 0
-    seen = Observation("dead_letters")
-    counted = rejected.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static").save(path)
-    return seen.get["rows"]
-
-
-def write_counted(df: DataFrame, write) -> int:
-    """Run ``write(df)`` and return the rows that went through, without a second job."""
-    seen = Observation("written")
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return seen.get["rows"]
+    replace_all(rejected, path, fmt=fmt)
+    return stored_rows(rejected.sparkSession, path, fmt)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -65,6 +65,23 @@ def test_widening_drops_share_one_scan(spark, drop_list, plan_text):
     assert plan.count("Scan parquet") == 1
 
 
+def test_damaged_pages_fail_one_drop_only(spark, tmp_path):
+    folder = str(tmp_path)
+    for month in (1, 2):
+        rows = spark.range(20_000).selectExpr("id VendorID", "rand(1) airport_fee", "'a' flag")
+        rows.coalesce(1).write.option("compression", "snappy").parquet(f"{folder}/t_2020-{month:02d}.parquet")
+    data = next((tmp_path / "t_2020-02.parquet").glob("part-*.parquet"))
+    content = bytearray(data.read_bytes())
+    content[4 : len(content) // 2] = b"\xff" * (len(content) // 2 - 4)
+    data.write_bytes(bytes(content))
+    for checksum in (tmp_path / "t_2020-02.parquet").glob(".part-*.crc"):
+        checksum.unlink()
+    listed = [drops.Drop(2020, m, f"{folder}/t_2020-{m:02d}.parquet") for m in (1, 2)]
+    report = drops.ingest(spark, listed, TYPES, f"{folder}/landed")
+    found = {r.month: (r.status, r["rows"], r.reason is None) for r in report.collect()}
+    assert found == {1: ("ok", 20_000, True), 2: ("failed", 0, False)}
+
+
 def test_all_drops_missing(spark, tmp_path):
     report = drops.ingest(
         spark, [drops.Drop(2020, 1, str(tmp_path / "none.parquet"))], TYPES, str(tmp_path / "x")
@@ -109,7 +126,7 @@ def test_year_filter_prunes_partitions(spark, tmp_path, plan_text):
     assert "PartitionFilters: [isnotnull(puYear" in plan
 
 
-def test_dead_letters_are_counted_while_written(spark, tmp_path):
+def test_dead_letters_are_counted_as_stored(spark, tmp_path):
     path = str(tmp_path / "bad")
     assert sinks.write_dead_letters(spark.range(0).toDF("v"), path, skip_empty=True) == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
