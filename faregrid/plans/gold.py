@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from faregrid.functions import labels, timeparts, tripmath
 from faregrid.operators.dedup import distinct_columns
+from faregrid.operators.quality import AcceptedValues, Check, NotNull, Unique, run_checks
 
 METERED_TAG = "yellow"
 RIDE_HAIL_TAG = "fhvhv"
@@ -64,6 +65,25 @@ STAGING_COLUMNS = (
     "weather_temp_c", "weather_precip_mm", "weather_wind_kmh", "weather_condition",
     "kafka_partition", "kafka_offset", "ingestion_timestamp", "silver_timestamp",
 )
+# What the finished star must satisfy.
+STAR_CHECKS: dict[str, tuple[Check, ...]] = {
+    "stg_silver_trips": (
+        NotNull("pickup_datetime"),
+        NotNull("fare_amount"),
+        NotNull("pickup_location_id"),
+    ),
+    "fact_trips": (
+        NotNull("fare_amount"),
+        NotNull("pickup_location_id"),
+        NotNull("pickup_datetime"),
+    ),
+    "dim_zone": (NotNull("zone_id"), Unique("zone_id")),
+    "dim_time": (NotNull("pickup_hour"),),
+    "dim_weather": (
+        NotNull("weather_condition"),
+        AcceptedValues("weather_condition", ("Clear", "Rain", "Snow")),
+    ),
+}
 CLOCK_COLUMNS = (
     "pickup_hour", "pickup_month", "pickup_year", "pickup_dow", "is_weekend", "is_rush_hour",
 )
@@ -195,6 +215,28 @@ def star_weather(staged: DataFrame) -> DataFrame:
     )
 
 
+def star_zones(zones: DataFrame) -> DataFrame:
+    """Zone dimension under the column names of the star, with the borough ordinal."""
+    named = zones.select(
+        F.col("location_id").alias("zone_id"), F.col("zone").alias("zone_name"), "borough"
+    )
+    return zones_with_ordinal(named)
+
+
+def star_tables(staged: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "fact_trips": star_fact(staged),
+        "dim_zone": star_zones(zones),
+        "dim_time": star_clock(staged),
+        "dim_weather": star_weather(staged),
+    }
+
+
+def check_star(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Result of every declared check of the given tables."""
+    return run_checks({name: (tables[name], STAR_CHECKS[name]) for name in tables})
+
+
 def fact_counts(metered: DataFrame, ride_hail: DataFrame) -> DataFrame:
     """Rows per fact and of both together."""
     counts = metered.agg(

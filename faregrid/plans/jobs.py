@@ -60,6 +60,31 @@ def ride_hail_silver_job(spark: SparkSession, lake: Lake) -> dict[str, int]:
     }
 
 
+def stream_silver_job(spark: SparkSession, lake: Lake, hourly_path: str) -> dict[str, int]:
+    """Silver of the raw messages; weather is joined when its file is there."""
+    parts = silver.stream_silver(
+        lake.read(spark, "bronze/messages"), readers.optional_hourly_weather(spark, hourly_path)
+    )
+    letters = lake.path("dead_letter/messages")
+    return {
+        "kept": lake.write(parts.kept, "silver/messages"),
+        "dead_letters": sinks.write_dead_letters(
+            parts.dead_letters, letters, lake.fmt, skip_empty=True
+        ),
+    }
+
+
+def star_job(spark: SparkSession, lake: Lake, zones: DataFrame) -> DataFrame:
+    """Staging as a view, the star as tables; returns the results of the checks."""
+    staged = gold.staging(lake.read(spark, "silver/messages"))
+    sinks.materialise(staged, "stg_silver_trips", "view")
+    built = gold.star_tables(spark.table("stg_silver_trips"), zones)
+    for name, df in built.items():
+        lake.write(df, f"star/{name}")
+    stored = {name: lake.read(spark, f"star/{name}") for name in built}
+    return gold.check_star({"stg_silver_trips": spark.table("stg_silver_trips")} | stored)
+
+
 def enrich_job(spark: SparkSession, lake: Lake) -> int:
     """The stored weather is small enough to be broadcast by its file size."""
     enriched = silver.enriched_metered(

@@ -13,10 +13,6 @@ import __spark_entry__ as entry  # noqa: E402
 from tools.check import connect, difference  # noqa: E402
 
 SF_DIR = entry.SMOKE_DIR
-KINDS = {
-    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
-    "boolean": "BOOLEAN",
-}
 
 
 @pytest.fixture(scope="module")
