@@ -91,9 +91,10 @@ TRIP_ROUTES = (
 
 def _hits(text: Column, route: Route, word_boundary: bool) -> Column:
     def hit(keyword: str) -> Column:
-        if word_boundary:
-            return text.rlike(rf"(?U)\b{re.escape(keyword)}\b")
-        return text.contains(keyword)
+        found = text.contains(keyword)
+        if word_boundary:  # the pattern only runs where the plain text occurs
+            return found & text.rlike(rf"(?U)\b{re.escape(keyword)}\b")
+        return found
 
     return reduce(add, [hit(keyword).cast("int") for keyword in route.keywords])
 

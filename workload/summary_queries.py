@@ -759,7 +759,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     + " AS rule FROM documents) GROUP BY rule",
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    checked = textaudit.validate(adapters.table(spark, sf, "documents"), "text")
+    checked = textaudit.validate(adapters.large_table(spark, sf, "documents"), "text")
     return checked.groupBy("rule").agg(F.count(F.lit(1)).alias("texts"))
 
 
@@ -839,7 +839,7 @@ LANGUAGE_ROUTES = (
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """Whole texts of any length against a keyword table of another subject."""
-    documents = adapters.table(spark, sf, "documents").select("doc_id", "text")
+    documents = adapters.large_table(spark, sf, "documents").select("doc_id", "text")
     return routing.route_questions(documents, "text", LANGUAGE_ROUTES).drop("text")
 
 
@@ -849,7 +849,7 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     + _route_sql(LANGUAGE_ROUTES, "texts", "turn_id", "text"),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    turns = adapters.table(spark, sf, "conversations").select(
+    turns = adapters.large_table(spark, sf, "conversations").select(
         (F.col("conv_id") * 100000 + F.col("turn")).alias("turn_id"), "text"
     )
     return routing.route_questions(turns, "text", LANGUAGE_ROUTES).drop("text")

@@ -351,11 +351,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
         "total_amount": "double",
         "payment_type": "bigint",
     }
-    fields = [
-        F.get_json_object("raw_json", f"$.{name}").cast(kind).alias(name)
-        for name, kind in kinds.items()
-    ]
-    return encoded.select(*fields).groupBy(*kinds).agg(F.count(F.lit(1)).alias("copies"))
+    schema = ", ".join(f"{name} {kind}" for name, kind in kinds.items())
+    fields = encoded.select(F.inline(F.array(F.from_json("raw_json", schema))))
+    return fields.groupBy(*kinds).agg(F.count(F.lit(1)).alias("copies"))
 
 
 # derived columns -------------------------------------------------------------------------
