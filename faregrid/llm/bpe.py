@@ -23,6 +23,8 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 
+from faregrid.llm.ship import ship
+
 PIECE_CHARS = 100_000
 _CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85])(?= )")
 
@@ -95,6 +97,7 @@ def encode_decode(
         f"doc_id {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string,"
         " round_trip boolean" + (", ids binary" if with_ids else "")
     )
+    ship(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(
         _digests(ranks_path, pattern, with_ids), schema
     )
@@ -115,4 +118,5 @@ def decode(rows: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 {"doc_id": batch.column("doc_id"), "raw": pa.array(raw, pa.binary())}
             )
 
+    ship(rows.sparkSession)
     return rows.select("doc_id", "ids").mapInArrow(run, f"doc_id {id_type}, raw binary")

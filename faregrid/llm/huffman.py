@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from tokenizers import Tokenizer
 
+from faregrid.llm.ship import ship
 from faregrid.session import scratch_path
 
 END_ID = 2
@@ -356,7 +357,7 @@ def stored_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
     files need one ordering shuffle of the ids. What goes to the driver is one row per
     id of the vocabulary; what is broadcast is that code book and one row per file.
     """
-    spark = docs.sparkSession
+    spark = ship(docs.sparkSession)
     staged = scratch_path(spark, "tokens")
     token_rows(docs, tokenizer_path, end_id).write.option("compression", "zstd").parquet(staged)
     tokens = spark.read.parquet(staged)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faregrid.llm import bpe, huffman, mixing, quality, shards, simhash
+from faregrid.llm import bpe, forest, huffman, langid, mixing, quality, shards, simhash
 from faregrid.llm.oracles import ORACLES  # noqa: F401  (registered beside the queries)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,20 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn(
+        "held_out", langid.crc_fold(F.col("doc_id")) == 0
+    )
+    model = langid.fit(docs.filter(~F.col("held_out")))
+    return langid.predict(docs, model).select(
+        "doc_id",
+        (langid.crc_fold(F.col("doc_id")) == 0).alias("held_out"),
+        "lang_pred",
+        "score",
+        "accepted",
+    )
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir)).select(
         "doc_id",
@@ -33,6 +47,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return forest.nearest(rows, F.col("id") % 100 == 0)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode_decode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
@@ -62,7 +81,9 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_centroid_language,
         op2_quality_rules,
+        op3_projection_forest,
         op4_byte_bpe,
         op5_huffman_ids,
         op6_feistel_shards,

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from faregrid.llm.ship import ship
 from faregrid.session import staged
 
 ROUNDS = 4
@@ -122,6 +123,7 @@ def sharded(docs: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
             yield pa.RecordBatch.from_pydict(columns)
 
     schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    ship(rows.sparkSession)
     placed = rows.mapInArrow(run, f"{schema}, shard int, slot bigint")
     return placed.select(
         "doc_id",

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faregrid.llm.components import components
+from faregrid.llm.ship import ship
 from faregrid.session import staged
 
 SHINGLE = 4
@@ -232,6 +233,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Texts are read once; everything after moves 8-byte fingerprints. A node is a
     distinct fingerprint.
     """
+    ship(docs.sparkSession)
     marked = staged(fingerprints(docs), "fingerprints")
     nodes = staged(
         marked.groupBy("fp").agg(F.min(F.col("doc_id").cast("bigint")).alias("first_id")),
