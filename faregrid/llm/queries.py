@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faregrid.llm import bpe, forest, huffman, langid, mixing, quality, shards, simhash
+from faregrid.llm import bpe, forest, huffman, langid, maintext, mixing, pii, quality, shards, simhash
 from faregrid.llm.oracles import ORACLES  # noqa: F401  (registered beside the queries)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,12 +66,20 @@ def op6_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.sharded(documents(spark, sf_dir), SHARDS)
 
 
+def op7_dom_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op8_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
+def op9_boosted_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(documents(spark, sf_dir))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -87,7 +95,9 @@ QUERIES: dict[str, Query] = {
         op4_byte_bpe,
         op5_huffman_ids,
         op6_feistel_shards,
+        op7_dom_trees,
         op8_simhash_anchors,
+        op9_boosted_spans,
         op10_source_mix,
     )
 }
