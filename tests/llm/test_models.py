@@ -228,7 +228,9 @@ def test_held_out_examples(spark):
     fresh = pii.examples(spark, 4800).filter("id >= 3200")
     got = pii.personal_data(fresh.withColumn("doc_id", F.col("id")), detector)
     rows = got.join(fresh, F.col("doc_id") == F.col("id")).collect()
-    hit = lambda label: np.mean([r["spans"] != "" for r in rows if r["label"] == label])
+    # spans beside the base ones; a look-alike can pass the check of a base pattern by chance
+    more = lambda r: len([s for s in r["spans"].split(",") if s]) > sum(r[f"n_{k}"] for k in pii.KINDS)
+    hit = lambda label: np.mean([more(r) for r in rows if r["label"] == label])
     assert hit(1) > 0.85 and hit(0) < 0.05
 
 
