@@ -1,9 +1,9 @@
 """Sums and means that do not depend on the order of the rows.
 
-A measure is added up as whole units of its last decimal place (cents for
-money) in a BIGINT. Such sums are exact, combine on the map side in a
-fixed-width hash-aggregation buffer, can be merged again at a coarser grain,
-and give the same result whatever the partitioning.
+A measure is added up as a decimal with ``PLACES`` places, wide enough for every digit
+a double of ordinary size shows. Such sums are exact, combine on the map side, can be
+merged again at a coarser grain, and give the same result whatever the partitioning.
+Nothing is rounded before it is summed: a value that does not fit raises.
 """
 
 from __future__ import annotations
@@ -16,18 +16,19 @@ from pyspark.sql import functions as F
 from faregrid.functions.cleaning import nan_to_null
 
 ROWS = "rows__n"
+PLACES = 18
+EXACT = f"decimal(38,{PLACES})"
 
 
 @dataclass(frozen=True)
 class Measure:
-    """A numeric column with the number of decimal places that is kept."""
+    """A numeric column; NaN counts as missing."""
 
     column: str
-    places: int = 2
 
     @property
     def units(self) -> str:
-        return f"{self.column}__units"
+        return f"{self.column}__sum"
 
     @property
     def seen(self) -> str:
@@ -35,17 +36,24 @@ class Measure:
 
     def tally_columns(self) -> list[Column]:
         value = nan_to_null(F.col(self.column))
-        whole = F.rint(value * float(10**self.places)).cast("bigint")
-        return [F.sum(whole).alias(self.units), F.count(value).alias(self.seen)]
+        exact = value.cast(EXACT)
+        misfit = F.concat(F.lit(f"{self.column} does not fit {EXACT}: "), value.cast("string"))
+        whole = F.when(exact.cast("double") != value, F.raise_error(misfit).cast(EXACT)).otherwise(
+            exact
+        )
+        return [F.sum(whole).cast(EXACT).alias(self.units), F.count(value).alias(self.seen)]
 
     def merge_columns(self) -> list[Column]:
-        return [F.sum(self.units).alias(self.units), F.sum(self.seen).alias(self.seen)]
+        return [
+            F.sum(self.units).cast(EXACT).alias(self.units),
+            F.sum(self.seen).alias(self.seen),
+        ]
 
 
 FARE = Measure("fare_amount")
 TIP = Measure("tip_amount")
 TOTAL = Measure("total_amount")
-DISTANCE = Measure("trip_distance", places=4)
+DISTANCE = Measure("trip_distance")
 
 
 def trips() -> Column:
@@ -54,9 +62,7 @@ def trips() -> Column:
 
 def exact_mean(measure: Measure) -> Column:
     """Mean of the non-missing values, NULL when there are none."""
-    return F.try_divide(
-        F.col(measure.units).cast("double"), F.col(measure.seen) * float(10**measure.places)
-    )
+    return F.try_divide(F.col(measure.units).cast("double"), F.col(measure.seen))
 
 
 def mean(measure: Measure, digits: int = 2) -> Column:
@@ -64,7 +70,7 @@ def mean(measure: Measure, digits: int = 2) -> Column:
 
 
 def total(measure: Measure, digits: int = 0) -> Column:
-    return F.round(F.col(measure.units).cast("double") / float(10**measure.places), digits)
+    return F.round(F.col(measure.units).cast("double"), digits)
 
 
 def mean_ratio_percent(top: Measure, bottom: Measure, digits: int = 2) -> Column:

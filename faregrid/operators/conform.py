@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,9 +66,15 @@ def scan_schema(physical: Iterable[T.StructType], types: Mapping[str, T.DataType
             if key in fields:
                 continue
             known = extra.get(key)
-            pair = (known.dataType.simpleString(), field.dataType.simpleString()) if known else None
-            if known is None or pair in SCAN_WIDENS:
+            if known is None:
                 extra[key] = T.StructField(field.name, field.dataType)
+                continue
+            have, new = known.dataType.simpleString(), field.dataType.simpleString()
+            if (have, new) in SCAN_WIDENS:
+                extra[key] = T.StructField(known.name, field.dataType)
+            elif have != new and (new, have) not in SCAN_WIDENS:
+                # neither holds the other: text holds both, whichever came first
+                extra[key] = T.StructField(known.name, T.StringType())
     return T.StructType([*extra.values(), *fields.values()])
 
 
@@ -82,14 +88,6 @@ def scan_accepts(physical: T.StructType, wanted: T.StructType) -> bool:
     return True
 
 
-def drop_month(path: Column, pattern: str) -> tuple[Column, Column]:
-    """Year and month of a drop from its path; ``pattern`` has two groups."""
-    return (
-        F.regexp_extract(path, pattern, 1).try_cast("int"),
-        F.regexp_extract(path, pattern, 2).try_cast("int"),
-    )
-
-
 def schema_drift(
     spark: SparkSession, schemas: Mapping[str, T.StructType], types: Mapping[str, T.DataType]
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from faregrid.functions.measures import ROWS, Measure
 
 
 def tally(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
-    """Row counts and exact unit sums per key; hot keys shrink before the shuffle."""
+    """Row counts and exact sums per key; hot keys shrink before the shuffle."""
     columns = [c for m in measures for c in m.tally_columns()]
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS), *columns)
 
@@ -38,7 +38,7 @@ def tally_sets(
 
 
 def merge(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
-    """Combine tallies to a coarser grain; exact, since unit sums add up."""
+    """Combine tallies to a coarser grain; exact, since the sums add up."""
     columns = [c for m in measures for c in m.merge_columns()]
     return df.groupBy(*keys).agg(F.sum(ROWS).alias(ROWS), *columns)
 

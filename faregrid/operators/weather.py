@@ -23,10 +23,9 @@ KMH_PER_MPS = 3.6
 MAX_PLAUSIBLE_CELSIUS = 99
 MAX_PLAUSIBLE_KMH = 300
 
-# decoded readings have one decimal place
-TEMPERATURE = Measure("weather_temp_c", places=1)
-WIND = Measure("weather_wind_kmh", places=1)
-RAIN = Measure("weather_precip_mm", places=1)
+TEMPERATURE = Measure("weather_temp_c")
+WIND = Measure("weather_wind_kmh")
+RAIN = Measure("weather_precip_mm")
 
 
 def part(field: str, index: int) -> Column:
@@ -102,9 +101,9 @@ def hourly_weather(decoded: DataFrame) -> DataFrame:
 def hourly_weather_strict(decoded: DataFrame) -> DataFrame:
     """Strict profile: mean wind, rain to two places, condition of the whole hour."""
     temperature, rain, wind = (
-        Measure("temperature", 1),
-        Measure("precipitation", 1),
-        Measure("wind_speed", 1),
+        Measure("temperature"),
+        Measure("precipitation"),
+        Measure("wind_speed"),
     )
     hours = present(
         tally(decoded, ["date", "hour"], [temperature, rain, wind]),

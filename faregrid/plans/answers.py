@@ -30,7 +30,7 @@ TOP_ZONES = 20
 AVG_FARE = Measure("avg_fare")
 AVG_TIP = Measure("avg_tip")
 AVG_TIP_PCT = Measure("avg_tip_pct")
-REVENUE = Measure("total_revenue", places=0)
+REVENUE = Measure("total_revenue")
 
 
 def _percent(part: Column, whole: Column, digits: int = 1) -> Column:
@@ -38,7 +38,7 @@ def _percent(part: Column, whole: Column, digits: int = 1) -> Column:
 
 
 def _means(df: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame:
-    """Trips and the unit sums of rounded averages, one per summary row."""
+    """Trips and the exact sums of rounded averages, one per summary row."""
     return df.groupBy(*keys).agg(
         F.sum("trips").alias("total_trips"),
         *[column for measure in measures for column in measure.tally_columns()],

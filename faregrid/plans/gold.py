@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faregrid.functions import labels, timeparts, tripmath
+from faregrid.functions.measures import Measure, exact_mean
 from faregrid.operators.dedup import distinct_columns
 from faregrid.operators.quality import AcceptedValues, Check, NotNull, Unique, run_checks
+from faregrid.operators.tally import present, tally
 
 METERED_TAG = "yellow"
 RIDE_HAIL_TAG = "fhvhv"
@@ -193,26 +195,26 @@ def star_clock(staged: DataFrame) -> DataFrame:
 def star_weather(staged: DataFrame) -> DataFrame:
     """Mean of the distinct readings of each condition (not weighted by trips).
 
-    Readings have one decimal, hence whole tenths: the sums are exact.
+    The sums are exact, whatever the order of the rows.
     """
     readings = ("weather_temp_c", "weather_precip_mm", "weather_wind_kmh")
     seen = distinct_columns(
         staged.filter(F.col("weather_condition").isNotNull()), ["weather_condition", *readings]
     )
 
-    def tenths_mean(name: str) -> Column:
-        tenths = F.rint(F.col(name) * 10).cast("bigint")
-        return F.try_divide(F.sum(tenths).cast("double"), F.count(tenths) * 10.0)
-
-    return (
-        seen.groupBy("weather_condition")
-        .agg(
-            tenths_mean("weather_temp_c").alias("avg_temp_c"),
-            tenths_mean("weather_precip_mm").alias("avg_precip_mm"),
-            tenths_mean("weather_wind_kmh").alias("avg_wind_kmh"),
-        )
-        .withColumn("demand_impact", labels.demand_text(F.col("weather_condition")))
+    temperature, rain, wind = (
+        Measure(c) for c in ("weather_temp_c", "weather_precip_mm", "weather_wind_kmh")
+    )
+    means = present(
+        tally(seen, ["weather_condition"], [temperature, rain, wind]),
+        ["weather_condition"],
+        {
+            "avg_temp_c": exact_mean(temperature),
+            "avg_precip_mm": exact_mean(rain),
+            "avg_wind_kmh": exact_mean(wind),
+        },
     )
+    return means.withColumn("demand_impact", labels.demand_text(F.col("weather_condition")))
 
 
 def star_zones(zones: DataFrame) -> DataFrame:

@@ -29,9 +29,18 @@ class Lake:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return readers.lake_table(spark, self.path(table), self.fmt)
 
-    def write(self, df: DataFrame, table: str, partitions: tuple[str, ...] = ()) -> int:
-        """Replace a table; returns the rows it holds afterwards."""
-        sinks.replace_all(df, self.path(table), partitions, self.fmt)
+    def write(
+        self,
+        df: DataFrame,
+        table: str,
+        partitions: tuple[str, ...] = (),
+        rebalance: bool = True,
+    ) -> int:
+        """Replace a table; returns the rows it holds afterwards.
+
+        Rows that are already stored by the same partitions need no ``rebalance``.
+        """
+        sinks.replace_all(df, self.path(table), partitions, self.fmt, rebalance)
         return sinks.stored_rows(df.sparkSession, self.path(table), self.fmt)
 
 
@@ -40,7 +49,7 @@ FACT_PARTITIONS = ("year", "month")
 
 def weather_job(spark: SparkSession, lake: Lake, reports: DataFrame) -> int:
     hourly = weather.hourly_weather(weather.decode_reports(reports))
-    return lake.write(hourly.coalesce(1), "silver/weather")
+    return lake.write(hourly, "silver/weather")
 
 
 def metered_silver_job(spark: SparkSession, lake: Lake) -> dict[str, int]:
@@ -68,9 +77,7 @@ def stream_silver_job(spark: SparkSession, lake: Lake, hourly_path: str) -> dict
     letters = lake.path("dead_letter/messages")
     return {
         "kept": lake.write(parts.kept, "silver/messages"),
-        "dead_letters": sinks.write_dead_letters(
-            parts.dead_letters, letters, lake.fmt, skip_empty=True
-        ),
+        "dead_letters": sinks.write_dead_letters(parts.dead_letters, letters, lake.fmt),
     }
 
 
@@ -90,7 +97,7 @@ def enrich_job(spark: SparkSession, lake: Lake) -> int:
     enriched = silver.enriched_metered(
         lake.read(spark, "silver/metered"), lake.read(spark, "silver/weather")
     )
-    return lake.write(enriched, "silver/metered_enriched", sinks.PARTITIONS)
+    return lake.write(enriched, "silver/metered_enriched", sinks.PARTITIONS, rebalance=False)
 
 
 def gold_job(
@@ -99,9 +106,11 @@ def gold_job(
     metered = gold.metered_fact(lake.read(spark, "silver/metered_enriched"))
     ride_hail = gold.ride_hail_fact(lake.read(spark, "silver/ride_hail"))
     calendar = gold.calendar(readers.calendar_range(spark, first_day, last_day))
+    facts = {"fact_trips_yellow": metered, "fact_trips_fhvhv": ride_hail}
     return {
-        "fact_trips_yellow": lake.write(metered, "gold/fact_trips_yellow", FACT_PARTITIONS),
-        "fact_trips_fhvhv": lake.write(ride_hail, "gold/fact_trips_fhvhv", FACT_PARTITIONS),
+        name: lake.write(fact, f"gold/{name}", FACT_PARTITIONS, rebalance=False)
+        for name, fact in facts.items()
+    } | {
         "dim_time": lake.write(calendar, "gold/dim_time"),
         "dim_zone": lake.write(zones, "gold/dim_zone"),
     }

@@ -2,7 +2,7 @@
 
 Each rollup accepts the raw fact. When all of them are wanted, ``summary_cells``
 scans the fact once for the three key sets they need, and ``all_summaries``
-merges every table from those few rows: counts and unit sums add up exactly, so
+merges every table from those few rows: counts and sums add up exactly, so
 both ways give the same result.
 """
 

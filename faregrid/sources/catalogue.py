@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
@@ -9,13 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faregrid.operators.textaudit import (
-    DEFAULT_LIMIT,
-    FULL_GUARD,
-    MAX_LIMIT,
-    GuardProfile,
-    audit,
-)
+from faregrid.operators.textaudit import FULL_GUARD, MAX_LIMIT, GuardProfile, audit
 from faregrid.sources.readers import lake_table
 
 # The tables that serve answers.
@@ -57,7 +52,9 @@ def register_folder(
         try:
             lake_table(spark, f"{root}/{name}", fmt).createOrReplaceTempView(name)
             found.append(name)
-        except AnalysisException:
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
             skipped.append(name)
     return found, skipped
 
@@ -71,26 +68,82 @@ def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def capped(df: DataFrame, wanted: int | None = None) -> DataFrame:
-    """The display cap: 100 rows unless asked, never more than 1000."""
-    return df.limit(min(DEFAULT_LIMIT if wanted is None else wanted, MAX_LIMIT))
+def limited(df: DataFrame, rows: int | None = None, most: int = MAX_LIMIT) -> DataFrame:
+    """All rows, or the number asked for; asking for more than ``most`` is an error."""
+    if rows is None:
+        return df
+    if not 0 <= rows <= most:
+        raise ValueError(f"{rows} rows asked for, at most {most} are listed")
+    return df.limit(rows)
+
+
+def sample_rows(df: DataFrame, key: str, share: float) -> DataFrame:
+    """The rows whose key falls into ``share`` of all hashes; the same rows every time."""
+    digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
+    return df.filter(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") < share * 2**32)
+
+
+def route_result(spark: SparkSession, table: str, rows: int | None = None) -> DataFrame:
+    """What a routed question returns: the rows of its table."""
+    return limited(spark.table(table), rows)
 
 
-def route_preview(spark: SparkSession, table: str) -> DataFrame:
-    """What a routed question returns: the first rows of its table."""
-    return capped(spark.table(table))
+def route_counts(routed: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Questions per target table, with the rows each of them gets."""
+    asked = routed.groupBy("target_table").agg(F.count(F.lit(1)).alias("questions"))
+    return asked.join(
+        profile(tables).withColumnRenamed("table_name", "target_table"), "target_table", "left"
+    )
+
+
+def _foreign(plan, known: set[str]) -> list[str]:
+    """Leaves of an analysed plan, with its subqueries, that are not below a known view."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "View":
+        name = plan.desc().identifier().table()
+        return [] if name.lower() in known else [name]
+    found: list[str] = []
+    for below in (plan.children(), plan.subqueries(), plan.innerChildren()):
+        for i in range(below.length()):
+            item = below.apply(i)
+            if hasattr(item, "subqueries"):
+                found += _foreign(item, known)
+    if not plan.children().length() and kind not in (
+        "OneRowRelation", "LocalRelation", "CTERelationRef", "UnresolvedInlineTable"
+    ):
+        found.append(kind)
+    return found
+
+
+# functions that reach outside the tables
+OUTSIDE_CALLS = r"(?i)\b(?:try_)?(?:reflect|java_method|read_files)\s*\("
 
 
 def read_only_sql(
-    spark: SparkSession, text: str, profile: GuardProfile = FULL_GUARD
+    spark: SparkSession,
+    text: str,
+    profile: GuardProfile = FULL_GUARD,
+    rows: int | None = None,
 ) -> DataFrame:
     """Run one guarded SELECT over the registered views.
 
-    The text goes through the same audit as a table of texts; a rejected text
-    raises ``ValueError`` with the reason.
+    The text goes through the same audit as a table of texts. Since a text can name a
+    table in ways the audit does not see, the analysed plan is then checked: all it
+    reads must be views of the profile, or registered views if it lists none. Nothing
+    runs before both hold; otherwise ``ValueError`` names the reason. ``rows`` limits the
+    result; without it, every row the text asks for is returned.
     """
     verdict = audit(spark.createDataFrame([(text,)], "query_text string"), "query_text", profile)
     checked = verdict.first()
     if not checked["valid"]:
         raise ValueError(checked["error"])
-    return spark.sql(checked["limited"])
+    if re.search(OUTSIDE_CALLS, checked["sanitised"]):
+        raise ValueError("Function not allowed")
+    listed = profile.tables or [
+        t.name for t in spark.catalog.listTables() if t.isTemporary
+    ]
+    result = spark.sql(checked["sanitised"])
+    foreign = _foreign(result._jdf.queryExecution().analyzed(), {t.lower() for t in listed})
+    if foreign:
+        raise ValueError(f"Relations not allowed: {', '.join(sorted(set(foreign)))}")
+    return limited(result, rows)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,16 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faregrid.operators.conform import (
-    conform,
-    drop_month,
-    scan_accepts,
-    scan_schema,
-    schema_drift,
-)
+from faregrid.operators.conform import conform, scan_accepts, scan_schema, schema_drift
 from faregrid.sources.sinks import PARTITIONS, replace_partitions
 
-FILE_MONTH = r"(\d{4})-(\d{2})\.parquet"
+# footers are read for this many drops at a time
+AT_ONCE = 16
 
 
 @dataclass(frozen=True)
@@ -33,69 +30,153 @@ class Drop:
         return f"{self.year}-{self.month:02d}"
 
 
+@dataclass
+class Part:
+    """Files of one drop with one physical schema."""
+
+    drop: Drop
+    files: list[str]
+    schema: T.StructType
+
+
 @dataclass
 class Inspected:
-    """Physical schemas of the readable drops and the reasons of the others."""
+    """The readable parts of the drops and the reasons of the others."""
 
     drops: list[Drop]
-    schemas: dict[Drop, T.StructType]
+    parts: list[Part]
     failures: dict[Drop, str]
 
+    def without(self, drop: Drop, reason: str) -> Inspected:
+        left = [p for p in self.parts if p.drop != drop]
+        return Inspected(self.drops, left, {**self.failures, drop: reason})
+
+
+def _reason(problem: Exception) -> str:
+    """The innermost message, which tells what was wrong with the file."""
+    causes = re.findall(r"Caused by: (.+)", str(problem))
+    return (causes[-1] if causes else str(problem)).splitlines()[0]
+
+
+def _named(spark: SparkSession, file: str) -> str:
+    """A file as the scan names it: escaped."""
+    return _comparable(spark._jvm.org.apache.hadoop.fs.Path(file).toUri().toString())
+
+
+def _comparable(path: str) -> str:
+    """Paths are written with one to three slashes behind the scheme."""
+    return re.sub(r"^([a-z][a-z0-9+.-]*):/+", r"\1:/", path)
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """Data files of a path; only the listing is read."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    listed, found = system.listFiles(root, True), []
+    while listed.hasNext():
+        file = listed.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            found.append(file.toString())
+    return sorted(found)
+
+
+def _inspect_one(spark: SparkSession, drop: Drop) -> list[Part]:
+    """All footers of a drop in one distributed read; file by file if they conflict."""
+    files = _files(spark, drop.path)
+    try:
+        return [Part(drop, files, spark.read.option("mergeSchema", True).parquet(*files).schema)]
+    except Exception as problem:
+        if "CANNOT_MERGE" not in str(problem) and "merge" not in str(problem):
+            raise
+    apart: dict[str, Part] = {}
+    for file in files:
+        schema = spark.read.parquet(file).schema
+        apart.setdefault(schema.simpleString(), Part(drop, [], schema)).files.append(file)
+    return list(apart.values())
+
 
 def inspect(spark: SparkSession, drops: Sequence[Drop]) -> Inspected:
-    """Read one footer per drop: finds missing or damaged drops before any data is read."""
-    schemas: dict[Drop, T.StructType] = {}
+    """Footers of every file of every drop, before any data is read.
+
+    Missing or damaged drops are found here. Several drops are looked at at a time.
+    """
+    if len({(d.year, d.month) for d in drops}) < len(drops):
+        raise ValueError("two drops of one month")
+    parts: list[Part] = []
     failures: dict[Drop, str] = {}
-    for drop in drops:
-        try:
-            schemas[drop] = spark.read.parquet(drop.path).schema
-        except Exception as problem:  # a bad drop is reported and must not stop the others
-            failures[drop] = str(problem).splitlines()[0]
-    return Inspected(list(drops), schemas, failures)
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        for drop, looked in [(d, pool.submit(_inspect_one, spark, d)) for d in drops]:
+            try:
+                parts += looked.result()
+            except Exception as problem:  # a bad drop is reported and must not stop the others
+                failures[drop] = _reason(problem)
+    return Inspected(list(drops), parts, failures)
 
 
 def drift(
     spark: SparkSession, seen: Inspected, types: Mapping[str, T.DataType]
 ) -> DataFrame:
-    return schema_drift(spark, {d.label: s for d, s in seen.schemas.items()}, types)
+    """Differences of each part of each drop from the registered types."""
+    found = [
+        schema_drift(spark, {p.drop.label: p.schema}, types) for p in seen.parts
+    ]
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def _tagged(scan: DataFrame, parts: Sequence[Part]) -> DataFrame:
+    """Year and month of the drop a row's file belongs to; any other file is an error."""
+    spark = scan.sparkSession
+    tags = spark.createDataFrame(
+        [
+            (_named(spark, f), p.drop.year, p.drop.month)
+            for p in parts
+            for f in p.files
+        ],
+        "_file string, puYear int, puMonth int",
+    )
+    known = [c for c in scan.columns if c.lower() not in ("puyear", "pumonth")]
+    path = F.regexp_replace(F.col("_metadata.file_path"), "^([a-z][a-z0-9+.-]*):/+", "$1:/")
+    named = scan.select(*known, path.alias("_path"))
+    missing = F.raise_error(F.concat(F.lit("no drop for file "), F.col("_path"))).cast("int")
+    # one row per file: the planner knows its size
+    joined = named.join(tags, F.col("_path") == F.col("_file"), "left")
+    return joined.select(
+        *known, F.coalesce("puYear", missing).alias("puYear"), "puMonth"
+    )
 
 
 def read_drops(
-    spark: SparkSession,
-    seen: Inspected,
-    types: Mapping[str, T.DataType],
-    month_pattern: str = FILE_MONTH,
+    spark: SparkSession, seen: Inspected, types: Mapping[str, T.DataType]
 ) -> DataFrame:
     """All readable drops, conformed and tagged with their year and month.
 
-    Drops whose columns the scan can widen are read together in one scan with
-    the canonical schema. The others are grouped by physical schema and cast
-    after reading: one more scan per distinct schema, however many drops.
+    Files whose columns the scan can widen are read together in one scan with the
+    canonical schema. The others are grouped by physical schema and cast after
+    reading: one more scan per distinct schema, however many drops.
     """
-    wanted = scan_schema(seen.schemas.values(), types)
-    together = [d for d, s in seen.schemas.items() if scan_accepts(s, wanted)]
-    apart: dict[str, list[Drop]] = {}
-    for drop, schema in seen.schemas.items():
-        if drop not in together:
-            apart.setdefault(schema.simpleString(), []).append(drop)
-
-    year, month = drop_month(F.col("_metadata.file_path"), month_pattern)
-    tags = {"puYear": year, "puMonth": month}
-    parts = []
-    if together:
-        scan = spark.read.schema(wanted).parquet(*[d.path for d in together])
-        parts.append(scan.withColumns(tags))
-    every = {field.name: field.dataType for field in wanted.fields}
+    wanted = scan_schema([p.schema for p in seen.parts], types)
+    together = [p for p in seen.parts if scan_accepts(p.schema, wanted)]
+    apart: dict[str, list[Part]] = {}
+    for part in seen.parts:
+        if part not in together:
+            apart.setdefault(part.schema.simpleString(), []).append(part)
+
+    def scan_of(parts: list[Part], schema: T.StructType) -> DataFrame:
+        files = [f for p in parts for f in p.files]
+        return _tagged(spark.read.schema(schema).parquet(*files), parts)
+
+    scans = [scan_of(together, wanted)] if together else []
+    every = {f.name: f.dataType for f in wanted.fields if f.name not in PARTITIONS}
     for group in apart.values():
-        scan = spark.read.schema(seen.schemas[group[0]]).parquet(*[d.path for d in group])
-        parts.append(conform(scan.withColumns(tags), every))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        scans.append(conform(scan_of(group, group[0].schema), every))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def ingest_report(
     spark: SparkSession, seen: Inspected, written: DataFrame | None
 ) -> DataFrame:
-    """One row per expected drop: status, rows landed, and why it failed if it did."""
+    """One row per expected drop: status, rows landed now, and why it failed if it did."""
     expected = spark.createDataFrame(
         [
             (d.year, d.month, "failed" if d in seen.failures else "ok", seen.failures.get(d))
@@ -103,13 +184,35 @@ def ingest_report(
         ],
         "year int, month int, status string, reason string",
     )
+    none = F.lit(0).cast("bigint")
     if written is None:
-        return expected.withColumn("rows", F.lit(0).cast("bigint"))
-    counts = written.groupBy(
-        F.col("puYear").alias("year"), F.col("puMonth").alias("month")
-    ).agg(F.count(F.lit(1)).alias("rows"))
+        return expected.withColumn("rows", none)
+    landed = [d for d in seen.drops if d not in seen.failures]
+    years = F.col("puYear").isin(sorted({d.year for d in landed}))
+    months = F.col("puMonth").isin(sorted({d.month for d in landed}))
+    counts = (
+        written.filter(years & months)
+        .groupBy(F.col("puYear").alias("year"), F.col("puMonth").alias("month"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
     return expected.join(counts, ["year", "month"], "left").withColumn(
-        "rows", F.coalesce("rows", F.lit(0).cast("bigint"))
+        "rows", F.when(F.col("status") == "ok", F.coalesce("rows", none)).otherwise(none)
+    )
+
+
+def _damaged(spark: SparkSession, problem: Exception, seen: Inspected) -> Drop | None:
+    """The drop of the file a read failed on; None for any other failure."""
+    named = re.search(r"FAILED_READ_FILE.*?file (\S+?)[.,]?\s", str(problem), re.S)
+    if named is None:
+        return None
+    path = _comparable(named[1])
+    return next(
+        (
+            p.drop
+            for p in seen.parts
+            if any(path in (_comparable(f), _named(spark, f)) for f in p.files)
+        ),
+        None,
     )
 
 
@@ -118,43 +221,26 @@ def ingest(
     drops: Sequence[Drop],
     types: Mapping[str, T.DataType],
     target: str,
-    month_pattern: str = FILE_MONTH,
     fmt: str = "parquet",
 ) -> DataFrame:
     """Land all readable drops with one write and return the report.
 
     Every drop replaces its own (year, month) partition, so a repeated run does
-    not add rows twice. Should the common write fail, because a drop with a good
-    footer holds damaged pages, the drops are landed one by one and only the
-    damaged ones are reported as failed.
+    not add rows twice. Rows are tagged by the drop their file belongs to, whatever
+    its name. When the write fails on a damaged file, its drop is reported as failed
+    and the others are written without it; any other failure is raised.
     """
     seen = inspect(spark, drops)
-    if seen.schemas:
-        try:
-            rows = read_drops(spark, seen, types, month_pattern)
-            replace_partitions(rows, target, PARTITIONS, fmt)
-        except Exception:  # which drop it was shows when each is landed alone
-            _land_one_by_one(spark, seen, types, target, month_pattern, fmt)
-    landed = len(seen.failures) < len(seen.drops)
-    return ingest_report(spark, seen, spark.read.format(fmt).load(target) if landed else None)
-
-
-def _land_one_by_one(
-    spark: SparkSession,
-    seen: Inspected,
-    types: Mapping[str, T.DataType],
-    target: str,
-    month_pattern: str,
-    fmt: str,
-) -> None:
-    every = {f.name: f.dataType for f in scan_schema(seen.schemas.values(), types).fields}
-    for drop, schema in list(seen.schemas.items()):
-        alone = Inspected([drop], {drop: schema}, {})
+    while seen.parts:
         try:
-            rows = conform(read_drops(spark, alone, types, month_pattern), every)
-            replace_partitions(rows, target, PARTITIONS, fmt)
+            replace_partitions(read_drops(spark, seen, types), target, PARTITIONS, fmt)
+            break
         except Exception as problem:
-            seen.failures[drop] = str(problem).splitlines()[0]
+            bad = _damaged(spark, problem, seen)
+            if bad is None:
+                raise
+            seen = seen.without(bad, _reason(problem))
+    return ingest_report(spark, seen, spark.read.format(fmt).load(target) if seen.parts else None)
 
 
 def partition_audit(table: DataFrame) -> DataFrame:

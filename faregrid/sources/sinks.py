@@ -61,15 +61,8 @@ def stored_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
     return spark.read.format(fmt).load(path).count()
 
 
-def write_dead_letters(
-    rejected: DataFrame, path: str, fmt: str = "parquet", skip_empty: bool = False
-) -> int:
-    """Write failed rows with their flags; returns how many there were.
-
-    With ``skip_empty`` a probe for the first row decides whether to write at all.
-    """
-    if skip_empty and rejected.isEmpty():
-        return 0
+def write_dead_letters(rejected: DataFrame, path: str, fmt: str = "parquet") -> int:
+    """Replace the failed rows with those of this run, none included; returns how many."""
     replace_all(rejected, path, fmt=fmt)
     return stored_rows(rejected.sparkSession, path, fmt)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,6 +83,47 @@ def test_damaged_pages_fail_one_drop_only(spark, tmp_path):
     assert found == {1: ("ok", 20_000, True), 2: ("failed", 0, False)}
 
 
+def test_drops_without_a_month_in_their_names(spark, tmp_path):
+    folder, target = str(tmp_path), str(tmp_path / "landed")
+    spark.range(10).selectExpr("id VendorID").write.parquet(f"{folder}/january.parquet")
+    spark.range(7).selectExpr("id VendorID").write.parquet(f"{folder}/february file.parquet")
+    listed = [
+        drops.Drop(2020, 1, f"{folder}/january.parquet"),
+        drops.Drop(2020, 2, f"{folder}/february file.parquet"),
+    ]
+    report = drops.ingest(spark, listed, TYPES, target)
+    assert {(r.month, r.status, r["rows"]) for r in report.collect()} == {(1, "ok", 10), (2, "ok", 7)}
+    assert readers.lake_table(spark, target).groupBy("puMonth").count().count() == 2
+    # a later run counts only what it lands
+    gone = [listed[0], drops.Drop(2020, 2, f"{folder}/gone.parquet")]
+    again = {r.month: (r.status, r["rows"]) for r in drops.ingest(spark, gone, TYPES, target).collect()}
+    assert again == {1: ("ok", 10), 2: ("failed", 0)}
+    with pytest.raises(ValueError):
+        drops.inspect(spark, [listed[0], listed[0]])
+
+
+def test_files_of_one_drop_may_differ(spark, tmp_path):
+    folder = tmp_path / "t_2020-01.parquet"
+    spark.range(4).selectExpr("cast(id as int) VendorID", "'1' flag", "1 odd").coalesce(1).write.parquet(str(folder))
+    spark.range(6).selectExpr("id VendorID", "2.5D airport_fee", "date'2020-01-01' odd").coalesce(1).write.mode(
+        "append"
+    ).parquet(str(folder))
+    seen = drops.inspect(spark, [drops.Drop(2020, 1, str(folder))])
+    assert not seen.failures and len(seen.parts) == 2
+    target = str(tmp_path / "landed")
+    report = drops.ingest(spark, [drops.Drop(2020, 1, str(folder))], TYPES, target)
+    assert [(r.status, r["rows"]) for r in report.collect()] == [("ok", 10)]
+    table = readers.lake_table(spark, target)
+    assert dict(table.dtypes)["odd"] == "string"
+    assert {r.odd for r in table.collect()} == {"1", "2020-01-01"}
+
+
+def test_other_failures_are_raised(spark, drop_list, tmp_path):
+    (tmp_path / "landed").write_text("a file where the table should be")
+    with pytest.raises(Exception):
+        drops.ingest(spark, drop_list[:1], TYPES, str(tmp_path / "landed"))
+
+
 def test_all_drops_missing(spark, tmp_path):
     report = drops.ingest(
         spark, [drops.Drop(2020, 1, str(tmp_path / "none.parquet"))], TYPES, str(tmp_path / "x")
@@ -128,11 +170,11 @@ def test_year_filter_prunes_partitions(spark, tmp_path, plan_text):
 
 def test_dead_letters_are_counted_as_stored(spark, tmp_path):
     path = str(tmp_path / "bad")
-    assert sinks.write_dead_letters(spark.range(0).toDF("v"), path, skip_empty=True) == 0
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        spark.read.parquet(path)
-    assert sinks.write_dead_letters(spark.range(7).toDF("v"), path, skip_empty=True) == 7
+    assert sinks.write_dead_letters(spark.range(7).toDF("v"), path) == 7
     assert spark.read.parquet(path).count() == 7
+    # a run without bad rows leaves none of the run before
+    assert sinks.write_dead_letters(spark.range(0).toDF("v"), path) == 0
+    assert spark.read.parquet(path).count() == 0
 
 
 def test_materialise(spark):
@@ -183,15 +225,58 @@ def test_missing_tables_are_skipped(spark, tmp_path):
     assert catalogue.profile({"dim_zone": spark.table("dim_zone")}).first()["rows"] == 4
 
 
+def test_broken_tables_are_not_skipped(spark, tmp_path):
+    (tmp_path / "dim_zone").mkdir()
+    with pytest.raises(AnalysisException):
+        catalogue.register_folder(spark, str(tmp_path), ["dim_zone"])
+
+
 def test_read_only_sql(spark):
-    catalogue.register({"dim_zone": spark.range(300).toDF("location_id")})
-    assert catalogue.read_only_sql(spark, "SELECT * FROM dim_zone;").count() == 100
-    assert catalogue.read_only_sql(spark, "```sql\nSELECT * FROM dim_zone LIMIT 7```").count() == 7
-    for text in ("DROP TABLE dim_zone", "SELECT * FROM other", "SELECT * FROM dim_zone LIMIT 2000"):
+    catalogue.register({"dim_zone": spark.range(3000).toDF("location_id")})
+    run = catalogue.read_only_sql
+    assert run(spark, "SELECT * FROM dim_zone;").count() == 3000
+    assert run(spark, "SELECT * FROM dim_zone;", rows=100).count() == 100
+    assert run(spark, "```sql\nSELECT * FROM dim_zone LIMIT 7```").count() == 7
+    nested = "SELECT * FROM dim_zone a JOIN (SELECT max(location_id) m FROM dim_zone) b ON a.location_id = b.m"
+    assert run(spark, nested).count() == 1
+    assert run(spark, "SELECT (SELECT count(*) FROM dim_zone) AS n FROM dim_zone").first()["n"] == 3000
+    with pytest.raises(ValueError):
+        run(spark, "SELECT * FROM dim_zone", rows=5000)
+
+
+def test_read_only_sql_refuses_what_is_not_listed(spark, tmp_path):
+    catalogue.register({"dim_zone": spark.range(3).toDF("id"), "secret_table": spark.range(3).toDF("id")})
+    path = str(tmp_path / "hidden")
+    spark.range(3).write.parquet(path)
+    for text in (
+        "DROP TABLE dim_zone",
+        "SELECT * FROM other",
+        "SELECT * FROM dim_zone LIMIT 2000",
+        "SELECT * FROM secret_table LIMIT 5",
+        "SELECT * FROM `secret_table` LIMIT 5",
+        "SELECT * FROM dim_zone, secret_table LIMIT 5",
+        "SELECT * FROM dim_zone, `secret_table` -- LIMIT 5",
+        "SELECT (SELECT max(id) FROM `secret_table`) FROM dim_zone LIMIT 5",
+        "SELECT * FROM dim_zone WHERE id IN (SELECT id FROM `secret_table`) LIMIT ALL",
+        f"SELECT * FROM `parquet`.`{path}` LIMIT 5",
+        f"SELECT * FROM dim_zone, `parquet`.`{path}` /* LIMIT 5 */",
+        "SELECT java_method('java.lang.System', 'lineSeparator') FROM dim_zone LIMIT 1",
+        "SELECT 1 FROM dim_zone LIMIT 1; SELECT 2",
+        "INSERT INTO dim_zone VALUES (1)",
+        "",
+    ):
         with pytest.raises(ValueError):
             catalogue.read_only_sql(spark, text)
-    assert catalogue.capped(spark.range(5000)).count() == 100
-    assert catalogue.capped(spark.range(5000), 4000).count() == 1000
+
+
+def test_limits_are_explicit(spark):
+    assert catalogue.limited(spark.range(5000)).count() == 5000
+    assert catalogue.limited(spark.range(5000), 40).count() == 40
+    with pytest.raises(ValueError):
+        catalogue.limited(spark.range(5000), 4000)
+    rows = catalogue.sample_rows(spark.range(4000), "id", 0.25)
+    assert 850 < rows.count() < 1150
+    assert rows.count() == catalogue.sample_rows(spark.range(4000).repartition(7), "id", 0.25).count()
 
 
 def test_shared_dir_comes_from_the_session(spark):

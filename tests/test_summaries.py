@@ -142,9 +142,24 @@ def test_ratio_of_means_edges(spark):
 
 
 def test_overflow_is_an_error_not_a_wrong_sum(spark):
-    rows = spark.createDataFrame([(1e18,)], "fare_amount double")
-    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+    rows = spark.createDataFrame([(1e25,)], "fare_amount double")
+    with pytest.raises(Exception, match="OUT_OF_RANGE|OVERFLOW"):
         tally(rows, [], [FARE]).collect()
+    many = spark.range(4).select(F.lit(9e19).alias("fare_amount"))
+    with pytest.raises(Exception, match="OUT_OF_RANGE|OVERFLOW"):
+        tally(many, [], [FARE]).collect()
+
+
+def test_values_are_not_cut_before_they_are_summed(spark):
+    rows = spark.range(1000).select(F.lit(0.004).alias("fare_amount"))
+    shown = {"total": total(FARE, 3), "mean": mean(FARE, 4)}
+    assert tuple(present(tally(rows, [], [FARE]), [], shown).first()) == (4.0, 0.004)
+    odd = spark.createDataFrame([(0.1 + 0.2,), (1 / 3,), (float("nan"),)], "fare_amount double")
+    found = tally(odd, [], [FARE]).first()
+    assert str(found[FARE.units]) == "0.633333333333333340" and found[FARE.seen] == 2
+    tiny = spark.createDataFrame([(1.25e-19,)], "fare_amount double")
+    with pytest.raises(Exception, match="does not fit"):
+        tally(tiny, [], [FARE]).collect()
 
 
 def test_fact_is_tallied_before_it_meets_the_dimension(fact, zones, plan_text):

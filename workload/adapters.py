@@ -16,18 +16,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def large_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows are worked on one by one.
-
-    The driver's files hold one row group each, so a small table arrives in fewer
-    tasks than there are cores and is spread out first. A table that already fills
-    the cores is left as it is: at scale nothing is shuffled here.
-    """
-    rows = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def _cents(value: Column) -> Column:
     return F.round(value, 2)
 
@@ -45,11 +33,14 @@ def _computed_once(df: DataFrame, **columns: Column) -> DataFrame:
 def metered_bronze(
     spark: SparkSession, sf_dir: str, keep: dict[str, Column] | None = None
 ) -> DataFrame:
-    """``lineitem`` as metered trips; every fifth-line trip has no passenger count."""
-    lines = large_table(spark, sf_dir, "lineitem")
-    lines = _computed_once(lines, fare=_cents(F.col("l_extendedprice") / 100))
-    lines = _computed_once(lines, tip=_cents(F.col("fare") * F.col("l_tax")))
-    lines = _computed_once(lines, total=_cents(F.col("fare") + F.col("tip")))
+    """``lineitem`` as metered trips; every fifth-line trip has no passenger count.
+
+    Fares, tips and distances are raw doubles with parts of a cent and of a mile.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    lines = _computed_once(lines, fare=F.col("l_extendedprice") / 100)
+    lines = _computed_once(lines, tip=F.col("fare") * F.col("l_tax"))
+    lines = _computed_once(lines, total=F.col("fare") + F.col("tip"))
     hours = ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 24).cast("int")
     pickup = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), hours)
     dropoff = pickup + F.make_dt_interval(F.lit(0), F.lit(0), F.col("l_quantity").cast("int"))
@@ -58,7 +49,7 @@ def metered_bronze(
         pickup.alias("tpep_pickup_datetime"),
         dropoff.alias("tpep_dropoff_datetime"),
         F.nullif(F.col("l_linenumber"), F.lit(5)).cast("double").alias("passenger_count"),
-        F.col("l_quantity").alias("trip_distance"),
+        (F.col("l_quantity") + F.col("l_discount") / 8).alias("trip_distance"),
         (F.col("l_linenumber") % 6 + 1).cast("double").alias("RatecodeID"),
         F.col("l_suppkey").alias("PULocationID"),
         (F.col("l_partkey") % 100).alias("DOLocationID"),
@@ -100,7 +91,7 @@ def ride_hail_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ride_hail_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as ride-hail trips, moved back in time to overlap the metered fleet."""
     events = _computed_once(
-        large_table(spark, sf_dir, "events"),
+        table(spark, sf_dir, "events"),
         miles=_cents(F.col("value") / 3),
         tips=_cents(F.col("value") * (F.col("event_id") % 5) / 50),
         pay=_cents(F.col("value") * 3 / 4),
@@ -162,7 +153,7 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def station_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as station reports, with every kind of missing code."""
-    orders = large_table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     moment = F.col("o_orderdate") + F.make_dt_interval(
         F.lit(0), (key % 24).cast("int"), (key % 60).cast("int")
@@ -282,7 +273,7 @@ def query_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .otherwise(F.col("props"))
     )
-    return large_table(spark, sf_dir, "events").select(F.col("event_id").alias("text_id"), text.alias("query_text"))
+    return table(spark, sf_dir, "events").select(F.col("event_id").alias("text_id"), text.alias("query_text"))
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,6 +294,6 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(n % 11 == 9, F.concat(F.lit("Congestion pricing in January 2025 for "), kind))
         .otherwise(F.concat(kind, F.lit(" "), user))
     )
-    return large_table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("question_id"), text.alias("question")
     )

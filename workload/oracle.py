@@ -12,23 +12,25 @@ def rd(x: str, digits: int = 2) -> str:
     return f"CAST(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,{digits})) AS DOUBLE)"
 
 
-def units(x: str, places: int = 2) -> str:
-    return f"CAST(round(({x}) * {10**places}) AS BIGINT)"
+def exact(x: str) -> str:
+    """A double as the decimal its shortest text shows; sums of it do not round."""
+    return f"CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18))"
 
 
-def avg(x: str, places: int = 2) -> str:
-    return (
-        f"(CAST(SUM({units(x, places)}) AS DOUBLE) / "
-        f"nullif(CAST(COUNT({x}) AS DOUBLE) * {10**places}, 0))"
-    )
+def added(x: str) -> str:
+    return f"CAST(CAST(SUM({exact(x)}) AS VARCHAR) AS DOUBLE)"
+
+
+def avg(x: str) -> str:
+    return f"({added(x)} / nullif(CAST(COUNT({x}) AS DOUBLE), 0))"
 
 
-def mean(x: str, digits: int = 2, places: int = 2) -> str:
-    return rd(avg(x, places), digits)
+def mean(x: str, digits: int = 2) -> str:
+    return rd(avg(x), digits)
 
 
-def total(x: str, digits: int = 0, places: int = 2) -> str:
-    return rd(f"CAST(SUM({units(x, places)}) AS DOUBLE) / {10**places}", digits)
+def total(x: str, digits: int = 0) -> str:
+    return rd(added(x), digits)
 
 
 def big(x: str) -> str:
@@ -51,8 +53,9 @@ def pct(part: str, whole: str, digits: int = 1) -> str:
     return rd(f"CAST({part} AS DOUBLE) * 100 / nullif(CAST({whole} AS DOUBLE), 0)", digits)
 
 
-FARE = rd("l_extendedprice / 100")
-TIP = rd(f"{FARE} * l_tax")
+# raw doubles, with parts of a cent and of a mile
+FARE = "(l_extendedprice / 100)"
+TIP = f"({FARE} * l_tax)"
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {}
 
@@ -88,12 +91,12 @@ cte(
       l_shipdate + to_hours(CAST((l_orderkey * 7 + l_linenumber) % 24 AS INTEGER))
         + to_minutes(CAST(l_quantity AS INTEGER)) AS dropoff,
       CAST(nullif(l_linenumber, 5) AS DOUBLE) AS passengers,
-      l_quantity AS distance,
+      l_quantity + l_discount / 8 AS distance,
       CAST(l_linenumber % 6 + 1 AS DOUBLE) AS rate_code,
       l_suppkey AS pu, l_partkey % 100 AS dof,
       CAST(CASE WHEN l_returnflag = 'A' THEN 1 WHEN l_returnflag = 'N' THEN 2
                 WHEN l_linestatus = 'O' THEN 3 ELSE 4 END AS BIGINT) AS pay,
-      {FARE} AS fare, {TIP} AS tip, {rd(f"{FARE} + {TIP}")} AS tot,
+      {FARE} AS fare, {TIP} AS tip, {FARE} + {TIP} AS tot,
       l_discount AS surcharge,
       CAST(year(l_shipdate) AS INTEGER) AS py, CAST(month(l_shipdate) AS INTEGER) AS pm
     FROM lineitem""",
@@ -196,9 +199,9 @@ cte(
     ("decoded",),
     f"""
     SELECT pickup_date_str, pickup_hour,
-      {mean("weather_temp_c", 1, 1)} AS weather_temp_c,
+      {mean("weather_temp_c", 1)} AS weather_temp_c,
       {rd("max(weather_wind_kmh)", 1)} AS weather_wind_kmh,
-      {total("weather_precip_mm", 1, 1)} AS weather_precip_mm
+      {total("weather_precip_mm", 1)} AS weather_precip_mm
     FROM decoded GROUP BY ALL""",
 )
 CONDITION = (
@@ -219,8 +222,8 @@ cte(
     ("decoded_strict",),
     f"""
     SELECT *, {CONDITION} AS condition FROM (
-      SELECT date, hour, {mean("temperature", 1, 1)} AS temperature,
-        {total("precipitation", 2, 1)} AS precipitation, {mean("wind_speed", 1, 1)} AS wind_speed
+      SELECT date, hour, {mean("temperature", 1)} AS temperature,
+        {total("precipitation", 2)} AS precipitation, {mean("wind_speed", 1)} AS wind_speed
       FROM decoded_strict GROUP BY ALL)""",
 )
 
@@ -339,8 +342,8 @@ cte(
       {unless(BAD_DISTANCE, "distance")} AS trip_distance,
       {unless("FALSE", "CAST(pu AS INTEGER)")} AS pickup_location_id,
       {unless("FALSE", "CAST(dof AS INTEGER)")} AS dropoff_location_id,
-      {unless(BAD_FARE, "fare")} AS fare_amount, {unless("FALSE", "tip")} AS tip_amount,
-      {unless("FALSE", "tot")} AS total_amount, {unless("FALSE", "CAST(pay AS INTEGER)")} AS payment_type,
+      {unless(BAD_FARE, rd("fare"))} AS fare_amount, {unless("FALSE", rd("tip"))} AS tip_amount,
+      {unless("FALSE", rd("tot"))} AS total_amount, {unless("FALSE", "CAST(pay AS INTEGER)")} AS payment_type,
       part AS kafka_partition, off AS kafka_offset
     FROM messages""",
 )
