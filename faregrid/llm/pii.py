@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faregrid.llm import boosting
-from faregrid.llm.words import computed_once
+from faregrid.llm.words import computed_once, put_back, set_aside
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -404,20 +404,23 @@ def redacted(docs: DataFrame, detector: Detector | None = None) -> DataFrame:
     Overlapping spans become one mark, of the kind that begins first; ``n_chars`` follows.
     """
     detector = detector or default_detector(docs.sparkSession)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    found = detected(docs.select("text", row), detector, "_row")
+    whole, names = set_aside(docs, "text")
+    found = detected(whole, detector, *names.values())
     marks = _quoted([f"[{k.upper()}]" for k in KINDS])
     pieces = f"""aggregate(_all, named_struct('to', 0, 'out', cast(array() as array<string>)),
         (a, y) -> if(y.b >= a.to, named_struct('to', y.e, 'out', concat(a.out, array(
             substr(_text, a.to + 1, y.b - a.to), {marks}[y.k]))),
           named_struct('to', greatest(a.to, y.e), 'out', a.out)),
         a -> concat(array_join(a.out, ''), substr(_text, a.to + 1)))"""
+    old = F.col(names["text"])
     changed = computed_once(
-        found, "_row", _text=F.when(F.size("_all") == 0, F.col("_row.text")).otherwise(F.expr(pieces))
+        found,
+        *names.values(),
+        _new=F.when(F.size("_all") == 0, old).otherwise(F.expr(pieces)),
     )
-    out = {c: F.col(f"_row.`{c}`") for c in docs.columns} | {"text": F.col("_text")}
-    if "n_chars" in out:
-        same = F.col("_text").eqNullSafe(F.col("_row.text"))
+    new = {"text": F.col("_new")}
+    if "n_chars" in names:
         kind = docs.schema["n_chars"].dataType
-        out["n_chars"] = F.when(same, F.col("_row.n_chars")).otherwise(F.length("_text")).cast(kind)
-    return changed.select(*[column.alias(name) for name, column in out.items()])
+        counted = F.when(F.col("_new").eqNullSafe(old), F.col(names["n_chars"]))
+        new["n_chars"] = counted.otherwise(F.length("_new")).cast(kind)
+    return put_back(changed, names, **new)

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faregrid.llm.words import BLANKS, computed_once, words
+from faregrid.llm.words import BLANKS, computed_once, put_back, set_aside, words
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -153,6 +153,5 @@ def quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with exactly their columns."""
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    judged = measured(whole.select("_row", F.col("_row.text").alias("text")), "_row")
-    return judged.filter(verdict(rules)).select("_row.*")
+    whole, names = set_aside(docs, "text")
+    return put_back(measured(whole, *names.values()).filter(verdict(rules)), names)

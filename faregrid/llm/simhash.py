@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from faregrid.llm.components import components
 from faregrid.llm.ship import ship
+from faregrid.llm.words import put_back, set_aside
 from faregrid.session import staged
 
 SHINGLE = 4
@@ -262,12 +263,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     gone = judged.filter(F.col("doc_id") != F.col("component_id")).select(
         F.col("doc_id").alias("_gone")
     )
-    left = docs.join(gone.distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64("_row"))
-    return (
-        left.select("doc_id", "text", row.alias("_row"))
-        .withColumn("_copy", F.row_number().over(same))
-        .filter("_copy = 1")
-        .select("_row.*")
-    )
+    whole, names = set_aside(docs, "doc_id", "text")
+    left = whole.join(gone.distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*names.values()))
+    once = left.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1")
+    return put_back(once, names)

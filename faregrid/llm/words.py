@@ -29,3 +29,19 @@ def computed_once(df: DataFrame, *carry: str, **columns: Column) -> DataFrame:
     """
     cells = F.struct(*[column.alias(name) for name, column in columns.items()])
     return df.select(*[F.col(f"`{c}`") for c in carry], F.inline(F.array(cells)))
+
+
+def set_aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, dict[str, str]]:
+    """All columns under names of their own, beside the ``needed`` ones.
+
+    Returns the frame and the map from the names of ``docs`` to the others, so that an
+    operator can add columns whatever the columns of its input are called.
+    """
+    names = {c: f"_in_{i}" for i, c in enumerate(docs.columns)}
+    aside = [F.col(f"`{c}`").alias(other) for c, other in names.items()]
+    return docs.select(*needed, *aside), names
+
+
+def put_back(df: DataFrame, names: dict[str, str], **changed: Column) -> DataFrame:
+    """The columns set aside under their old names, some with new values."""
+    return df.select(*[changed.get(c, F.col(other)).alias(c) for c, other in names.items()])
