@@ -21,19 +21,28 @@ RIDE_HAIL_KEYS = [
 ]
 
 
+# Which of the repeats stays: the smallest by these, then by a hash of the whole row.
+METERED_SURVIVOR = ["tip_amount", "total_amount", "tpep_dropoff_datetime"]
+RIDE_HAIL_SURVIVOR = ["tips", "trip_miles", "dropoff_datetime"]
+
+
 def first_per_key(
-    df: DataFrame, keys: Sequence[str], tie_break: Sequence[str] | None = None
+    df: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = ()
 ) -> DataFrame:
     """Keep one row per key, NULL keys being equal, always the same one.
 
-    The survivor is the smallest row by ``tie_break``, by default all other
-    columns. The ``== 1`` filter lets Spark keep only the best row per key in
-    every map task (``WindowGroupLimit``) before anything is shuffled, so a key
-    repeated a billion times reaches the final task once per map task.
+    The survivor is the smallest row by ``tie_break`` and then by a hash of all other
+    columns. Only the keys, those columns, the hash and what is used later are sorted
+    and shuffled, so a rollup of a few columns does not move whole rows. The ``== 1``
+    filter lets Spark keep only the best row per key in every map task
+    (``WindowGroupLimit``) before anything is shuffled, so a key repeated a billion
+    times reaches the final task once per map task.
     """
-    order = list(tie_break) if tie_break else [c for c in df.columns if c not in keys]
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__place", place).filter(F.col("__place") == 1).drop("__place")
+    others = [c for c in df.columns if c not in keys and c not in tie_break]
+    marked = df.withColumn("__row", F.xxhash64(*others) if others else F.lit(0))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*tie_break, "__row"))
+    ranked = marked.withColumn("__place", place).filter(F.col("__place") == 1)
+    return ranked.drop("__place", "__row")
 
 
 def removed_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -43,7 +43,8 @@ def metered_silver(bronze: DataFrame, null_policy: str = quality.NULL_FAILS) ->
     Deriving the features after the shuffle keeps the shuffled rows narrow.
     """
     rules = quality.METERED_RULES
-    kept = dedup.first_per_key(quality.passed(bronze, rules), dedup.METERED_KEYS)
+    passed = quality.passed(bronze, rules)
+    kept = dedup.first_per_key(passed, dedup.METERED_KEYS, dedup.METERED_SURVIVOR)
     return Silver(
         kept=metered_features(kept),
         dead_letters=quality.failed(metered_features(bronze), rules, null_policy),
@@ -52,7 +53,8 @@ def metered_silver(bronze: DataFrame, null_policy: str = quality.NULL_FAILS) ->
 
 def ride_hail_silver(bronze: DataFrame, null_policy: str = quality.NULL_FAILS) -> Silver:
     rules = quality.RIDE_HAIL_RULES
-    kept = dedup.first_per_key(quality.passed(bronze, rules), dedup.RIDE_HAIL_KEYS)
+    passed = quality.passed(bronze, rules)
+    kept = dedup.first_per_key(passed, dedup.RIDE_HAIL_KEYS, dedup.RIDE_HAIL_SURVIVOR)
     return Silver(
         kept=ride_hail_features(kept),
         dead_letters=quality.failed(ride_hail_features(bronze), rules, null_policy),

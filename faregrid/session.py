@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -10,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# scratch paths of each application
+_made: dict[str, list[str]] = {}
+
 SETTINGS = {
     # timestamps are wall-clock values; one zone keeps them comparable
     "spark.sql.session.timeZone": "UTC",
@@ -32,14 +36,14 @@ def build_session(app: str = "faregrid", master: str | None = None, **conf) -> S
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only a local session without the setting gets a folder of its own; on a
-    cluster a machine-local folder would lose data with the machine, so a
-    missing setting is an error there.
+    A session whose executors are threads of the driver, as in tests, gets a folder
+    of its own where the setting is missing; on a cluster a machine-local folder
+    would lose data with the machine, so a missing setting is an error there.
     """
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="faregrid-")
     spark.conf.set(CHECKPOINT_SETTING, folder)
@@ -47,8 +51,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; never reused, so never cleared."""
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder, removed by ``clear_scratch``."""
+    path = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove what this application left in the shared folder; results must be read before.
+
+    Returns how many paths there were.
+    """
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -19,8 +19,10 @@ def hot(spark, rows=60_000):
 
 def test_survivor_does_not_depend_on_layout(spark):
     rows = hot(spark)
-    few = dedup.first_per_key(rows.repartition(1), ["k", "k2"])
-    many = dedup.first_per_key(rows.repartition(13, "v"), ["k", "k2"])
+    hashed = [dedup.first_per_key(r, ["k", "k2"]) for r in (rows.repartition(1), rows.repartition(13, "v"))]
+    assert hashed[0].exceptAll(hashed[1]).count() == 0 and hashed[1].exceptAll(hashed[0]).count() == 0
+    few = dedup.first_per_key(rows.repartition(1), ["k", "k2"], ["v", "s"])
+    many = dedup.first_per_key(rows.repartition(13, "v"), ["k", "k2"], ["v", "s"])
     assert few.exceptAll(many).count() == 0 and many.exceptAll(few).count() == 0
     expected = rows.groupBy("k", "k2").agg(F.min(F.struct("v", "s")).alias("m"))
     expected = expected.select("k", "k2", "m.v", "m.s")
@@ -35,9 +37,18 @@ def test_repeats_are_dropped_before_the_shuffle(spark, plan_text):
     assert tree.index("Exchange") < tree.rindex("WindowGroupLimit")
 
 
+def test_only_needed_columns_are_moved(spark, tmp_path, plan_text):
+    wide = hot(spark).withColumns({f"w{i}": F.concat("s", F.lit(i)) for i in range(5)})
+    wide.write.parquet(str(tmp_path / "wide"))
+    stored = spark.read.parquet(str(tmp_path / "wide"))
+    plan = plan_text(dedup.first_per_key(stored, ["k", "k2"], ["v"]).groupBy("k").agg(F.sum("v")))
+    moved = plan[plan.index(") Exchange\n"):]
+    assert "w3" not in moved[: moved.index("Arguments")]
+
+
 def test_missing_keys_are_equal(spark):
     rows = spark.createDataFrame([(None, 2), (None, 1), (1, 5)], "k int, v int")
-    assert sorted(r.v for r in dedup.first_per_key(rows, ["k"]).collect()) == [1, 5]
+    assert sorted(r.v for r in dedup.first_per_key(rows, ["k"], ["v"]).collect()) == [1, 5]
 
 
 def test_tie_break_columns(spark):

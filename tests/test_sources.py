@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faregrid.operators import conform, envelope
-from faregrid.session import shared_dir
+from faregrid.session import clear_scratch, shared_dir, staged
 from faregrid.sources import catalogue, drops, readers, sinks
 from faregrid.streaming import ingest
 
@@ -284,6 +284,17 @@ def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == (configured or shared_dir(spark)).rstrip("/")
 
 
+def test_scratch_is_removed_on_request(spark):
+    clear_scratch(spark)
+    stored = staged(spark.range(5), "once")
+    assert stored.count() == 5 and clear_scratch(spark) == 1
+    with pytest.raises(Exception):
+        staged(spark.range(5), "twice").filter("id > 0").sparkSession.read.parquet(
+            stored.inputFiles()[0]
+        ).count()
+    assert clear_scratch(spark) == 1
+
+
 PAYLOADS = [
     '{"vendor_id":"1","pickup_datetime":"2024-01-01 10:00:00","fare_amount":1.005,"payment_type":1}',
     "not json",

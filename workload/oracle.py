@@ -125,11 +125,11 @@ cte(
     UNION ALL
     SELECT * REPLACE ({rd("tip + 1")} AS tip) FROM metered_lines WHERE l_linenumber % 3 = 0""",
 )
-# The survivor of a key is its smallest row by all other columns in adapter order.
+# The survivor of a key has the smallest tip, total and dropoff; the rest breaks no tie here.
 SURVIVOR_ORDER = ", ".join(
     f"{c} NULLS FIRST"
     for c in (
-        "VendorID dropoff passengers distance rate_code pay tip tot surcharge py pm".split()
+        "tip tot dropoff VendorID passengers distance rate_code pay surcharge py pm".split()
     )
 )
 
@@ -277,7 +277,7 @@ COMPANY = (
     "WHEN 'HV0004' THEN 'Via' WHEN 'HV0005' THEN 'Lyft' ELSE 'Unknown' END"
 )
 HAIL_ORDER = (
-    "licence, dropoff, miles, secs, tips, shared_request_flag, shared_match_flag, "
+    "tips, miles, dropoff, licence, secs, shared_request_flag, shared_match_flag, "
     "wav_request_flag, wav_match_flag, pm"
 )
 
