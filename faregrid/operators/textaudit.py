@@ -35,8 +35,19 @@ FORBIDDEN_WORDS_REDUCED = (
 MAX_LIMIT = 1000
 DEFAULT_LIMIT = 100
 
+# How tables and limits are found in a text, and the reasons given.
 TABLE_PATTERN = r"(?U)\b(?:FROM|JOIN)\s+([a-zA-Z_][a-zA-Z0-9_]*)"
 LIMIT_PATTERN = r"(?U)\bLIMIT\s+(\d+)"
+EMPTY = "Empty SQL query"
+SELECT_ONLY = "Only SELECT statements are allowed"
+FORBIDDEN = "Forbidden keyword detected: "
+UNKNOWN_TABLES = "Unknown tables referenced: "
+NO_LIMIT = "Query must include a LIMIT clause"
+TOO_HIGH = ("LIMIT ", " exceeds maximum allowed ")
+MULTIPLE = "Multiple statements not allowed"
+
+# blanks of all scripts, and the four separators that are not white space by class
+BLANKS = r"[\s\x1c-\x1f]+"
 
 
 @dataclass(frozen=True)
@@ -54,7 +65,7 @@ REDUCED_GUARD = GuardProfile(FORBIDDEN_WORDS_REDUCED, tables=None, single_statem
 
 
 def strip_blanks(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(text, rf"(?U)^{BLANKS}|{BLANKS}\z", "")
 
 
 def strip_semicolons(text: Column) -> Column:
@@ -100,16 +111,16 @@ def validate(texts: DataFrame, column: str, profile: GuardProfile = FULL_GUARD)
     unknown = F.array_except(named, known)
 
     rules = [
-        (text.isNull() | (trimmed == ""), "empty", F.lit("Empty SQL query")),
+        (text.isNull() | (trimmed == ""), "empty", F.lit(EMPTY)),
         (
             ~upper.startswith("SELECT"),
             "select_only",
-            F.lit("Only SELECT statements are allowed"),
+            F.lit(SELECT_ONLY),
         ),
         (
             upper.rlike(words),
             "forbidden_word",
-            F.concat(F.lit("Forbidden keyword detected: "), word),
+            F.concat(F.lit(FORBIDDEN), word),
         ),
     ]
     if profile.tables is not None:
@@ -118,14 +129,14 @@ def validate(texts: DataFrame, column: str, profile: GuardProfile = FULL_GUARD)
             (
                 F.size(unknown) > 0,
                 "unknown_table",
-                F.concat(F.lit("Unknown tables referenced: "), listed),
+                F.concat(F.lit(UNKNOWN_TABLES), listed),
             )
         )
     rules.append(
         (
             ~upper.contains("LIMIT"),
             "no_limit",
-            F.lit("Query must include a LIMIT clause"),
+            F.lit(NO_LIMIT),
         )
     )
     rules.append(
@@ -133,7 +144,7 @@ def validate(texts: DataFrame, column: str, profile: GuardProfile = FULL_GUARD)
             _exceeds(limit, profile.max_limit),
             "limit_too_high",
             F.concat(
-                F.lit("LIMIT "), limit, F.lit(f" exceeds maximum allowed ({profile.max_limit})")
+                F.lit(TOO_HIGH[0]), limit, F.lit(f"{TOO_HIGH[1]}({profile.max_limit})")
             ),
         )
     )
@@ -142,7 +153,7 @@ def validate(texts: DataFrame, column: str, profile: GuardProfile = FULL_GUARD)
             (
                 strip_semicolons(trimmed).contains(";"),
                 "multiple_statements",
-                F.lit("Multiple statements not allowed"),
+                F.lit(MULTIPLE),
             )
         )
 

@@ -119,13 +119,6 @@ def hourly_weather_strict(decoded: DataFrame) -> DataFrame:
     )
 
 
-def with_condition(hourly: DataFrame) -> DataFrame:
-    """Condition column for the default hourly profile."""
-    return hourly.withColumn(
-        "weather_condition", weather_condition(F.col("weather_precip_mm"), F.col("weather_temp_c"))
-    )
-
-
 def condition_counts(hourly: DataFrame, column: str = "condition") -> DataFrame:
     return hourly.groupBy(column).agg(F.count(F.lit(1)).alias("hours"))
 

@@ -179,3 +179,11 @@ def test_routing_needs_no_shuffle_and_no_join(spark, plan_text):
     rows = spark.range(10).selectExpr("cast(id as string) AS q")
     plan = plan_text(routing.route_questions(rows, "q"))
     assert "Exchange" not in plan and "Join" not in plan and "Python" not in plan
+
+
+def test_blanks_around_a_text_include_separators(spark):
+    texts = spark.createDataFrame(
+        [("\x1cSELECT 1 FROM dim_zone LIMIT 1\x1f",), ("\u00a0\x1d\n",)], "t string"
+    )
+    rows = textaudit.validate(texts, "t").collect()
+    assert [r.rule for r in rows] == [None, "empty"]

@@ -1009,7 +1009,8 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
-    kept = silver.metered_silver(adapters.metered_bronze(spark, sf)).kept
+    # stored once: the duplicates are not removed again for the rows after the join
+    kept = staged(silver.metered_silver(adapters.metered_bronze(spark, sf)).kept, "kept")
     hours = staged(inputs.hourly(spark, sf), "weather")
     joined = lookups.with_weather(kept, hours)
     return lookups.row_count_guard(kept, joined, hours, lookups.WEATHER_KEYS)
