@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faregrid.llm.words import BLANKS, computed_once, put_back, set_aside, words
+from faregrid.llm.words import computed_once, put_back, set_aside, words
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -53,7 +53,18 @@ RULES = (
 
 
 def _characters(text: Column, some: str) -> Column:
-    return (F.length(text) - F.length(F.translate(text, some, ""))).cast("bigint")
+    rest = F.regexp_replace(text, f"[{some}]+", "")
+    return (F.length(text) - F.length(rest)).cast("bigint")
+
+
+_WINDOW = "concat_ws(' ', get(_words, {i}), get(_words, {i} + 1), get(_words, {i} + 2))"
+
+
+def _repeated(windows: str) -> str:
+    """SQL: sorted places of the windows that equal another, from structs ``s``, ``p``."""
+    return f"""transform(array(sort_array({windows})), w -> sort_array(transform(
+        filter(w, (x, i) -> x.s <=> get(w, i - 1).s or x.s <=> get(w, i + 1).s),
+        x -> x.p)))[0]"""
 
 
 def measured(docs: DataFrame, *keep: str) -> DataFrame:
@@ -61,19 +72,17 @@ def measured(docs: DataFrame, *keep: str) -> DataFrame:
 
     ``n_repeat_words`` counts the words that stand in a three-word window found twice
     or more: the windows are sorted with their places, equal neighbours give the
-    places, and gaps between the sorted places give the words covered. All of it stays
-    inside the row, so a long or repetitive text costs n log n.
+    places, and gaps between the sorted places give the words covered. Windows are
+    sorted by a hash, and by themselves in a text where two windows share one. All of it
+    stays inside the row, so a long or repetitive text costs n log n.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.filter(
-        F.split(text, "\n", -1), lambda line: F.translate(line, BLANKS, "") != F.lit("")
-    )
+    lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     base = computed_once(
         docs,
         *keep,
         _words=words(F.col("text")),
         _lines=lines,
-        word_chars=F.length(F.translate(text, BLANKS, "")).cast("bigint"),
         n_symbols=_characters(text, SYMBOLS),
         n_shouts=_characters(text, "!"),
     )
@@ -81,9 +90,10 @@ def measured(docs: DataFrame, *keep: str) -> DataFrame:
     counted = computed_once(
         base,
         *keep,
-        "word_chars",
+        "_words",
         "n_symbols",
         "n_shouts",
+        word_chars=F.length(F.array_join("_words", "")).cast("bigint"),
         n_words=F.size("_words").cast("bigint"),
         n_lines=F.size("_lines").cast("bigint"),
         n_dup_lines=(F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint"),
@@ -91,19 +101,28 @@ def measured(docs: DataFrame, *keep: str) -> DataFrame:
         n_stop_words=F.expr(
             f"size(filter(_words, w -> trim(trailing '.,!?;:' from lower(w)) in ({stop})))"
         ).cast("bigint"),
-        _windows=F.expr(
-            "if(size(_words) < 3, array(), sort_array(transform(sequence(0, size(_words) - 3),"
-            " i -> named_struct('s', concat_ws(' ', get(_words, i), get(_words, i + 1),"
-            " get(_words, i + 2)), 'p', i))))"
+        _hashes=F.expr(
+            "if(size(_words) < 3, array(), transform(sequence(0, size(_words) - 3),"
+            " i -> xxhash64(get(_words, i), get(_words, i + 1), get(_words, i + 2))))"
         ),
     )
-    placed = computed_once(
+    by_hash = _repeated("transform(_hashes, (h, i) -> named_struct('s', h, 'p', i))")
+    by_text = _repeated(
+        f"transform(_hashes, (h, i) -> named_struct('s', {_WINDOW.format(i='i')}, 'p', i))"
+    )
+    rest = [c for c in counted.columns if c not in ("_words", "_hashes")]
+    some = computed_once(
         counted,
-        *[c for c in counted.columns if c != "_windows"],
-        _places=F.expr(
-            "sort_array(transform(filter(_windows, (x, i) -> x.s <=> get(_windows, i - 1).s"
-            " or x.s <=> get(_windows, i + 1).s), x -> x.p))"
-        ),
+        *rest,
+        "_words",
+        "_hashes",
+        _places=F.expr(f"if(size(array_distinct(_hashes)) = size(_hashes), array(), {by_hash})"),
+    )
+    # as many different windows as hashes among the places, or else two share a hash
+    true = f"""size(array_distinct(transform(_places, p -> {_WINDOW.format(i="p")})))
+        = size(array_distinct(transform(_places, p -> get(_hashes, p))))"""
+    placed = computed_once(
+        some, *rest, _places=F.expr(f"if(size(_places) = 0 or {true}, _places, {by_text})")
     )
     covered = F.expr(
         "aggregate(transform(_places, (p, i) ->"
