@@ -71,11 +71,12 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def materialise(df: DataFrame, name: str, kind: str) -> None:
-    """Staging models become views, finished models become tables."""
+def materialise(df: DataFrame, name: str, kind: str, path: str | None = None) -> None:
+    """Staging models become views, finished models become tables, at ``path`` if given."""
     if kind == "view":
         df.createOrReplaceTempView(name)
     elif kind == "table":
-        df.write.mode("overwrite").saveAsTable(name)
+        writer = df.write.mode("overwrite")
+        (writer.option("path", path) if path else writer).saveAsTable(name)
     else:
         raise ValueError(f"unknown kind of model: {kind}")

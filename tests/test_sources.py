@@ -177,9 +177,12 @@ def test_dead_letters_are_counted_as_stored(spark, tmp_path):
     assert spark.read.parquet(path).count() == 0
 
 
-def test_materialise(spark):
+def test_materialise(spark, tmp_path):
     sinks.materialise(spark.range(3), "stg_rows", "view")
     assert spark.table("stg_rows").count() == 3
+    for rows in (4, 5):
+        sinks.materialise(spark.range(rows), "mart_rows", "table", str(tmp_path / "mart"))
+        assert spark.table("mart_rows").count() == rows
     with pytest.raises(ValueError):
         sinks.materialise(spark.range(3), "rows", "other")
 

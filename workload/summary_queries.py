@@ -233,8 +233,9 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     """A finished model stored as a table of the catalogue, written over and read back."""
+    path = scratch_path(spark, "mart")
     for _run in range(2):
-        sinks.materialise(borough_summary(spark, sf), "mart_boroughs", "table")
+        sinks.materialise(borough_summary(spark, sf), "mart_boroughs", "table", path)
     stored = spark.table("mart_boroughs")
     return _column_sums({"mart_boroughs": stored}, {"mart_boroughs": [*_AVERAGED, "year"]})
 
