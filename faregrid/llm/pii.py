@@ -63,8 +63,9 @@ CHECKS = {
 
 # kind and pattern of the spans proposed beside the base ones
 GENERATORS = (
-    ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++ ?(?:@|\[at\]|\(at\)|at ) ?"
-              r"[\p{L}\p{N}-]++(?: ?(?:\.|\[dot\]|\(dot\)|dot ) ?[\p{L}\p{N}-]++)++"),
+    ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++(?: ?(?:@|\[at\]|\(at\)) ?"
+              r"[\p{L}\p{N}-]++(?:(?: ?(?:\.|\[dot\]|\(dot\)) ?| dot )[\p{L}\p{N}-]++)++"
+              r"| at [\p{L}\p{N}-]++(?: dot [\p{L}\p{N}-]++)++)"),
     ("ip", r"(?<![0-9.])[0-9]{1,3}(?: ?(?:\.|\[\.\]|\(\.\)) ?[0-9]{1,3}){3}(?![0-9])"),
     ("ip", r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::{1,2}[0-9A-Fa-f]{1,4}){3,7}(?![0-9A-Fa-f:])"),
     ("card", r"(?<![0-9])[0-9]{13,19}(?![0-9])"),
@@ -75,6 +76,16 @@ GENERATORS = (
     ("phone", r"(?<![0-9.])0[1-9][0-9]{0,4}(?:[\x20./()-]{1,2}[0-9]{2,8}){1,5}(?![0-9])"),
 )
 
+# what a text must hold for a pattern to match; most texts are passed over by it
+BASE_NEEDS = {"email": "contains({t}, '@')", "ip": "_digit", "card": "_digit", "phone": "_digit"}
+NEEDS = {
+    "email": "contains(_rest, '@') or contains(_rest, '[at]') or contains(_rest, '(at)')"
+    " or contains(_rest, ' dot ')",
+    "ip": "_digit or contains(_rest, ':')",
+    "card": "_digit",
+    "phone": "_digit",
+}
+
 HINTS = {
     "email": r"(?i)(?:mail|contact|kontakt|correo|courriel|write|reach)\\W{0,12}(?:\\w+\\W+){0,2}$",
     "ip": r"(?i)(?:\\bip\\b|host|server|client|addr\\w*|from|ping)\\W{0,12}(?:\\w+\\W+){0,2}$",
@@ -129,8 +140,17 @@ def _blanked(text: str, kind: str) -> str:
 def base_spans(docs: DataFrame, *carry: str) -> DataFrame:
     """``carry`` columns, ``_text`` and per kind an array of base spans."""
     texts = computed_once(docs, *carry, _text=F.coalesce(F.col("text"), F.lit("")))
+    looked = computed_once(texts, *carry, "_text", _digit=F.col("_text").rlike("[0-9]"))
     found = computed_once(
-        texts, *carry, "_text", **{f"_all_{k}": F.expr(_spans("_text", BASE[k])) for k in KINDS}
+        looked,
+        *carry,
+        "_text",
+        **{
+            f"_all_{k}": F.expr(
+                f"if({BASE_NEEDS[k].format(t='_text')}, {_spans('_text', BASE[k])}, array())"
+            )
+            for k in KINDS
+        },
     )
     return found.select(
         *[F.col(f"`{c}`") for c in carry],
@@ -180,11 +200,16 @@ def candidates(based: DataFrame, *carry: str) -> DataFrame:
     for kind in KINDS:
         source = "_text" if kind == KINDS[0] else "_rest"
         kept = [*carry, "_text", *[f"_{k}" for k in KINDS]]
-        rest = computed_once(rest, *kept, _rest=F.expr(_blanked(source, kind)))
+        rest = computed_once(
+            rest,
+            *kept,
+            _rest=F.expr(f"if(size(_{kind}) = 0, {source}, {_blanked(source, kind)})"),
+        )
+    rest = rest.withColumn("_digit", F.col("_rest").rlike("[0-9]"))
     proposed = {
-        kind: "array_distinct(concat("
+        kind: f"if({NEEDS[kind]}, array_distinct(concat("
         + ", ".join(_spans("_rest", rx) for k, rx in GENERATORS if k == kind)
-        + "))"
+        + ")), array())"
         for kind in KINDS
     }
     keep = [*carry, "_text", "_rest", *[f"_{k}" for k in KINDS]]
@@ -212,7 +237,7 @@ class Detector:
 # card number and 'W' one with a wrong check digit; a sign behind these groups the digits
 TRUE_FORMATS = {
     "email": ("LLLL at LLLLL dot LL", "LLL.LLLL[at]LLLLLL[dot]LLL", "LLLL (at) LLLLL (dot) LLL",
-              "LLLéL@LLLL.LL", "LLLLL @ LLLLL.LLL", "LLL.LLL (at) LLLLL.LL"),
+              "LLLLL @ LLLLL.LLL", "LLL.LLL (at) LLLLL.LL"),
     "ip": ("B[.]B[.]B[.]B", "B . B . B . B", "B(.)B(.)B(.)B",
            "2001:####:####:#:#:#:####:####", "fe80::####:####:####:####"),
     "card": ("C C", "2024 C", "C  ", "C.", "C/", "C 7"),
@@ -220,8 +245,7 @@ TRUE_FORMATS = {
               "030 ########", "01 ## ## ## ##", "(###)###-####", "###.###.####"),
 }
 FALSE_FORMATS = {
-    "email": ("LLLL at LLLLL. LL LLLL", "LLL at LL.LLL LL", "LL at the LLLLL. The LLL",
-              "LLLL at LLLL. Then LL"),
+    "email": ("# @ #.##", "LLLL @ LLLL. LLLL LL", "## @ ##.##", "LLLL @ LLL. LL LLL"),
     "ip": ("9##.B.8##.B", "##:##:##:##", "1.0.0.#.#.#", "##:##:##:##:##", "3##.4##.5##.6##"),
     "card": ("W", "W W", "2024 W", "W  ", "W.", "W/", "W 7", "202#########01"),
     "phone": ("##########", "202#-0#-## ####", "#.###.###,##", "### ### #######",
