@@ -6,21 +6,22 @@ File format: a Parquet table of blocks. A block holds whole documents in ascendi
     part, block      place of the block in the global order
     first            ids in earlier blocks of the part
     doc_ids, counts  the documents and how many ids each has
-    payload          the code words, most significant bit first
-    checkpoints      bit offset of every ``STRIDE``-th id within the payload
+    payload          the code words, most significant bit first; documents begin at bytes
+    checkpoints      bit offset of every ``STRIDE``-th id of each document in the payload
 
 The code book is one length per id; canonical order makes the code words follow from
 the lengths. All stretches between checkpoints of a block are decoded side by side
 with a table of all ``LIMIT``-bit prefixes.
 
 Defined results: a null or empty text has only the end id; rows with equal ``doc_id``
-keep their own ids and stand next to each other, in the order of their ids; a null
-``doc_id`` sorts first; an empty table gives an empty file set.
+keep their own ids and stand next to each other, in the order of their code words; a
+null ``doc_id`` sorts first; an empty table gives an empty file set.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -40,10 +41,12 @@ END_ID = 2
 LIMIT = 18
 STRIDE = 256
 BLOCK_IDS = 1 << 16
-KNOWN_CHUNKS = 200_000
+KNOWN_CHUNKS = 300_000
+TOGETHER = 256
 
 _SAFE = re.compile(r"(?<=\S)(?= )")
 _BLANK_BLANK = re.compile(r"\s (?:\s|\Z)")
+_BEFORE_BLANK = re.compile(r" (?:\s|\Z)")  # needed by the former, and found faster
 
 
 @lru_cache(maxsize=2)
@@ -53,42 +56,75 @@ def _tokenizer(path: str) -> Tokenizer:
     return tokenizer
 
 
+def id_type(path: str) -> np.dtype:
+    """The narrower of 16 and 32 bits that holds all ids."""
+    return np.dtype("<u2" if _tokenizer(path).get_vocab_size() < 1 << 16 else "<u4")
+
+
 class _Encoder:
     """Encodes text chunk by chunk and remembers chunks seen before.
 
     A chunk ends before a space that follows a non-blank or is followed by one; the
     byte-level pre-splitting never joins such places, so ids of chunks put together are
     the ids of the text. Texts with a space between blanks are cut after non-blanks only.
-    The memory is emptied when it holds ``KNOWN_CHUNKS`` chunks.
+
+    New chunks go to the tokenizer many at a time, with a tab between them: a tab next
+    to a non-blank, or in front of a space and a non-blank, is always a match of its own.
+    Two generations of ``KNOWN_CHUNKS`` chunks are remembered: what was not used during
+    the last generation is forgotten.
     """
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
-        self.known: dict[str, bytes] = {}
+        self.kind = id_type(path)
+        (self.tab,) = self.tokenizer.encode("\t", add_special_tokens=False).ids
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def chunks(self, text: str) -> list[str]:
-        if _BLANK_BLANK.search(text):
-            return _SAFE.split(text)
-        head, *rest = text.split(" ")
-        return ([head] if head else []) + [" " + word for word in rest]
+        if "\0" in text or (_BEFORE_BLANK.search(text) and _BLANK_BLANK.search(text)):
+            return [c for c in _SAFE.split(text) if c]
+        found = text.replace(" ", "\0 ").split("\0")
+        return found if found[0] else found[1:]
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of each text."""
         parts = [self.chunks(t) for t in texts]
-        if len(self.known) > KNOWN_CHUNKS:
-            self.known.clear()
-        new = list({c for part in parts for c in part if c not in self.known})
-        for chunk, e in zip(
-            new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True
-        ):
-            self.known[chunk] = np.asarray(e.ids, dtype="<u4").tobytes()
-        known = self.known
-        return [b"".join([known[c] for c in part]) for part in parts]
+        if len(self.young) > KNOWN_CHUNKS:
+            self.young, self.old = {}, self.young
+        known, old = self.young, self.old
+        alone, joined = [], []
+        for chunk in set(itertools.chain.from_iterable(parts)).difference(known):
+            ids = old.get(chunk)
+            if ids is not None:
+                known[chunk] = ids
+                continue
+            rest = chunk[1:] if chunk[0] == " " else chunk
+            plain = rest and not rest[0].isspace() and not rest[-1].isspace()
+            (joined if plain and "\t" not in chunk else alone).append(chunk)
+        self._learn(alone, 1)
+        self._learn(joined, TOGETHER)
+        ids_of = known.__getitem__
+        return [b"".join(map(ids_of, part)) for part in parts]
+
+    def _learn(self, chunks: list[str], together: int) -> None:
+        groups = [chunks[i : i + together] for i in range(0, len(chunks), together)]
+        texts = ["\t".join(g) for g in groups]
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for group, one in zip(groups, encoded, strict=True):
+            ids = np.asarray(one.ids, dtype=self.kind)
+            raw, size = ids.tobytes(), self.kind.itemsize
+            cuts = np.flatnonzero(ids == self.tab) if len(group) > 1 else np.zeros(0, dtype=int)
+            begin = [0, *((cuts + 1) * size).tolist()]
+            end = [*(cuts * size).tolist(), len(raw)]
+            for chunk, lo, hi in zip(group, begin, end, strict=True):
+                self.young[chunk] = raw[lo:hi]
 
 
 def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """``doc_id``, ``n`` and ``ids`` (packed little-endian 32-bit) of every text, end id last."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    end = np.asarray([end_id], dtype="<u4").tobytes()
+    """``doc_id``, ``n`` and packed ``ids`` (see ``id_type``) of every text, end id last."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    end = np.asarray([end_id], dtype=id_type(tokenizer_path)).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder(tokenizer_path)
@@ -99,24 +135,22 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Da
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": part.column("doc_id"),
-                        "n": pa.array([len(i) // 4 + 1 for i in ids], pa.int64()),
+                        "n": pa.array([len(i) // len(end) + 1 for i in ids], pa.int64()),
                         "ids": pa.array([i + end for i in ids], pa.binary()),
                     }
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {id_type}, n bigint, ids binary"
-    )
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n bigint, ids binary")
 
 
-def id_counts(tokens: DataFrame) -> DataFrame:
+def id_counts(tokens: DataFrame, packed: np.dtype) -> DataFrame:
     """``id`` and ``n`` over all rows; each task adds up its own part first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for value in batch.column("ids"):
-                got = np.bincount(np.frombuffer(value.as_py(), dtype="<u4"))
+                got = np.bincount(np.frombuffer(value.as_py(), dtype=packed))
                 if len(got) > len(total):
                     got, total = total, got.astype(np.int64)
                 total[: len(got)] += got
@@ -196,99 +230,149 @@ class CodeBook:
             self.width[low : low + (1 << (self.bits - last))] = last
             code += 1
 
-    def pack(self, ids: np.ndarray, stride: int = STRIDE) -> tuple[bytes, np.ndarray]:
-        """Payload and the bit offset of every ``stride``-th id."""
+    def pack(
+        self, ids: np.ndarray, counts: np.ndarray, stride: int = STRIDE
+    ) -> tuple[list[bytes], list[np.ndarray]]:
+        """Per document its payload, and the bit offset of every ``stride``-th id in it."""
+        if not len(ids):
+            return [b""] * len(counts), [np.zeros(0, dtype=np.int64)] * len(counts)
         widths = self.lengths[ids]
         ends = np.cumsum(widths)
-        starts = ends - widths
-        total = int(ends[-1]) if len(ids) else 0
-        cells = np.zeros((total + 31) // 32 + 1, dtype=np.uint64)
+        last = np.cumsum(counts)
+        bits = np.diff(np.r_[0, np.r_[0, ends][last]])
+        size = (bits + 7) // 8  # a document begins at a byte
+        begin = np.cumsum(size) - size
+        inside = ends - widths - np.repeat(np.r_[0, ends][last] - bits, counts)
+        starts = inside + np.repeat(begin * 8, counts)
+        cells = np.zeros(int(size.sum()) // 4 + 3, dtype=np.uint64)
         # a code lies in one or two 32-bit cells, as part of a 64-bit window
         shifted = self.codes[ids].astype(np.uint64) << (64 - (starts & 31) - widths).astype(
             np.uint64
         )
         cell = starts >> 5
-        first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(ids) else []
-        if len(ids):
-            window = np.bitwise_or.reduceat(shifted, first)
-            cells[cell[first]] |= window >> np.uint64(32)
-            cells[cell[first] + 1] |= window & np.uint64(0xFFFFFFFF)
-        return cells.astype(">u4").tobytes()[: (total + 7) // 8], starts[::stride].copy()
+        first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+        window = np.bitwise_or.reduceat(shifted, first)
+        cells[cell[first]] |= window >> np.uint64(32)
+        cells[cell[first] + 1] |= window & np.uint64(0xFFFFFFFF)
+        raw = cells.astype(">u4").tobytes()
+        payloads = [raw[b : b + n] for b, n in zip(begin.tolist(), size.tolist(), strict=True)]
+        offsets = [
+            inside[e - n : e : stride] for e, n in zip(last.tolist(), counts.tolist(), strict=True)
+        ]
+        return payloads, offsets
 
     def unpack(
-        self, payload: bytes, checkpoints: np.ndarray, count: int, stride: int = STRIDE
+        self,
+        payload: bytes,
+        checkpoints: np.ndarray,
+        counts: np.ndarray,
+        stride: int = STRIDE,
     ) -> np.ndarray:
-        """The ``count`` ids of a payload; every stretch advances one id per step."""
+        """The ids of all documents; every stretch advances one id per step."""
         raw = np.frombuffer(payload + b"\0" * 8, dtype=np.uint8).astype(np.uint32)
         window = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
-        at = checkpoints.astype(np.int64)
-        out = np.zeros((len(at), stride), dtype=np.uint32)
-        last = count - (len(at) - 1) * stride if len(at) else 0
+        stretches = -(-counts // stride)
+        size = np.full(len(checkpoints), stride, dtype=np.int64)
+        last = np.cumsum(stretches)[stretches > 0] - 1
+        size[last] = (counts - (stretches - 1) * stride)[stretches > 0]
+        begin = np.cumsum(size) - size
+        longest = np.argsort(-size, kind="stable")
+        at, place = checkpoints[longest].astype(np.int64), begin[longest]
+        out = np.zeros(int(size.sum()), dtype=np.uint32)
+        alive = np.searchsorted(-size[longest], -np.arange(stride), side="left")
         top = np.uint32(32 - self.bits)
         mask = np.uint32((1 << self.bits) - 1)
-        for step in range(min(stride, count)):
-            live = at if step < last else at[:-1]
+        for step in range(int(size.max(initial=0))):
+            live = at[: alive[step]]
             # a prefix of at most 25 bits begins anywhere in a byte of the window
             seen = (window[live >> 3] >> (top - (live & 7).astype(np.uint32))) & mask
-            out[: len(live), step] = self.symbol[seen]
+            out[place[: alive[step]] + step] = self.symbol[seen]
             live += self.width[seen]
-        return out.reshape(-1)[:count]
-
-
-def write_blocks(tokens: DataFrame, lengths: dict[int, int], path: str) -> None:
-    """Write ``tokens`` in global ``doc_id`` order as blocks of about ``BLOCK_IDS`` ids."""
-    spark = tokens.sparkSession
-    id_type = tokens.schema["doc_id"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(lengths)  # one entry per id of the vocabulary
-
-    def block(number: int, first: int, doc_ids: list, ids: list[bytes], book: CodeBook) -> dict:
-        whole = np.frombuffer(b"".join(ids), dtype="<u4")
-        payload, checkpoints = book.pack(whole)
-        return {
-            "block": number,
-            "first": first,
-            "doc_ids": doc_ids,
-            "counts": [len(i) // 4 for i in ids],
-            "payload": payload,
-            "checkpoints": checkpoints.tolist(),
-        }
+        return out
+
+
+def coded_rows(tokens: DataFrame, packed: np.dtype, lengths: dict[int, int]) -> DataFrame:
+    """``doc_id``, ``n``, ``payload`` and ``offsets`` of every document."""
+    kind = tokens.schema["doc_id"].dataType.simpleString()
+    shared = tokens.sparkSession.sparkContext.broadcast(lengths)  # an entry per id in use
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        book = CodeBook(shared.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                raw = part.column("ids").to_pylist()
+                ids = np.frombuffer(b"".join(raw), dtype=packed).astype(np.int64)
+                counts = np.asarray([len(r) // packed.itemsize for r in raw], dtype=np.int64)
+                payloads, offsets = book.pack(ids, counts)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": part.column("doc_id"),
+                        "n": pa.array(counts),
+                        "payload": pa.array(payloads, pa.binary()),
+                        "offsets": pa.array(offsets, pa.list_(pa.int64())),
+                    }
+                )
+
+    return tokens.select("doc_id", "ids").mapInArrow(
+        run, f"doc_id {kind}, n bigint, payload binary, offsets array<bigint>"
+    )
 
+
+def write_blocks(coded: DataFrame, path: str) -> None:
+    """Write documents in global ``doc_id`` order as blocks of about ``BLOCK_IDS`` ids.
+
+    The code words are made before the rows are put in order, so that the shuffle moves
+    them and not the ids; a block only joins the payloads of its documents.
+    """
+    kind = coded.schema["doc_id"].dataType
     schema = (
-        f"block bigint, first bigint, doc_ids array<{id_type}>, counts array<bigint>,"
+        f"block bigint, first bigint, doc_ids array<{kind.simpleString()}>, counts array<bigint>,"
         " payload binary, checkpoints array<bigint>"
     )
+    lists = pa.list_(pa.int64())
     arrow = pa.schema(
         [
             ("block", pa.int64()),
             ("first", pa.int64()),
-            ("doc_ids", pa.list_(to_arrow_type(tokens.schema["doc_id"].dataType))),
-            ("counts", pa.list_(pa.int64())),
+            ("doc_ids", pa.list_(to_arrow_type(kind))),
+            ("counts", lists),
             ("payload", pa.binary()),
-            ("checkpoints", pa.list_(pa.int64())),
+            ("checkpoints", lists),
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        book = CodeBook(shared.value)
-        doc_ids, ids, held, number, first = [], [], 0, 0, 0
+        rows, held, number, first = [], 0, 0, 0
+
+        def block() -> pa.RecordBatch:
+            begin = np.cumsum([0, *[len(r[2]) for r in rows]]) * 8
+            checkpoints = np.concatenate(
+                [np.asarray(r[3], dtype=np.int64) + b for r, b in zip(rows, begin, strict=False)]
+            )
+            one = {
+                "block": number,
+                "first": first,
+                "doc_ids": [r[0] for r in rows],
+                "counts": [r[1] for r in rows],
+                "payload": b"".join(r[2] for r in rows),
+                "checkpoints": checkpoints.tolist(),
+            }
+            return pa.RecordBatch.from_pylist([one], arrow)
+
         for batch in batches:
-            for doc_id, value in zip(
-                batch.column("doc_id").to_pylist(), batch.column("ids"), strict=True
-            ):
-                doc_ids.append(doc_id)
-                ids.append(value.as_py())
-                held += len(ids[-1]) // 4
+            columns = [batch.column(c).to_pylist() for c in ("doc_id", "n", "payload", "offsets")]
+            for row in zip(*columns, strict=True):
+                rows.append(row)
+                held += row[1]
                 if held >= BLOCK_IDS:
-                    yield pa.RecordBatch.from_pylist(
-                        [block(number, first, doc_ids, ids, book)], arrow
-                    )
-                    first, number = first + held, number + 1
-                    doc_ids, ids, held = [], [], 0
-        if ids:
-            yield pa.RecordBatch.from_pylist([block(number, first, doc_ids, ids, book)], arrow)
-
-    ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
-    blocks = ordered.select("doc_id", "ids").mapInArrow(run, schema)
+                    yield block()
+                    rows, held, number, first = [], 0, number + 1, first + held
+        if rows:
+            yield block()
+
+    ordered = coded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "payload")
+    blocks = ordered.mapInArrow(run, schema)
     blocks.select(F.spark_partition_id().alias("part"), "*").write.option(
         "compression", "uncompressed"
     ).parquet(path)
@@ -297,7 +381,7 @@ def write_blocks(tokens: DataFrame, lengths: dict[int, int], path: str) -> None:
 def read_blocks(spark: SparkSession, lengths: dict[int, int], path: str) -> DataFrame:
     """Per document, from the files: ``start``, ``n_tokens``, ``ids_crc32`` and packed ``ids``."""
     blocks = spark.read.parquet(path)
-    id_type = blocks.schema["doc_ids"].dataType.elementType.simpleString()
+    kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     shared = spark.sparkContext.broadcast(lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,9 +391,7 @@ def read_blocks(spark: SparkSession, lengths: dict[int, int], path: str) -> Data
                 cell = {name: batch.column(name)[row] for name in batch.schema.names}
                 counts = np.asarray(cell["counts"].as_py(), dtype=np.int64)
                 ids = book.unpack(
-                    cell["payload"].as_py(),
-                    np.asarray(cell["checkpoints"].as_py(), dtype=np.int64),
-                    int(counts.sum()),
+                    cell["payload"].as_py(), cell["checkpoints"].values.to_numpy(), counts
                 )
                 ends = np.cumsum(counts)
                 raw = [
@@ -328,7 +410,7 @@ def read_blocks(spark: SparkSession, lengths: dict[int, int], path: str) -> Data
                 )
 
     schema = (
-        f"part int, place bigint, doc_id {id_type}, n_tokens bigint, ids_crc32 bigint, ids binary"
+        f"part int, place bigint, doc_id {kind}, n_tokens bigint, ids_crc32 bigint, ids binary"
     )
     decoded = blocks.mapInArrow(run, schema)
     # one row per file: ids before a part are the ids of the parts in front of it
@@ -354,14 +436,16 @@ def stored_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) ->
     """Encode, count, write the files to the shared folder, and read them back.
 
     Ids are written once before the counts are taken, so texts are encoded once; the
-    files need one ordering shuffle of the ids. What goes to the driver is one row per
+    files need one ordering shuffle of the code words. What goes to the driver is one row per
     id of the vocabulary; what is broadcast is that code book and one row per file.
     """
     spark = ship(docs.sparkSession)
     staged = scratch_path(spark, "tokens")
     token_rows(docs, tokenizer_path, end_id).write.option("compression", "zstd").parquet(staged)
     tokens = spark.read.parquet(staged)
-    lengths = code_lengths({r["id"]: r["n"] for r in id_counts(tokens).toLocalIterator()})
+    packed = id_type(tokenizer_path)
+    counts = id_counts(tokens, packed).toLocalIterator()
+    lengths = code_lengths({r["id"]: r["n"] for r in counts})
     files = scratch_path(spark, "token-blocks")
-    write_blocks(tokens, lengths, files)
+    write_blocks(coded_rows(tokens, packed, lengths), files)
     return read_blocks(spark, lengths, files)
