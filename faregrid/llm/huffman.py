@@ -3,7 +3,7 @@
 File format: a Parquet table of blocks. A block holds whole documents in ascending
 ``doc_id`` order and is decoded by itself:
 
-    part, block      place of the block in the global order
+    part, block      place of the block in the global order (parts by bounds of ``doc_id``)
     first            ids in earlier blocks of the part
     doc_ids, counts  the documents and how many ids each has
     payload          the code words, most significant bit first; documents begin at bytes
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import heapq
 import itertools
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -41,7 +42,8 @@ END_ID = 2
 LIMIT = 18
 STRIDE = 256
 BLOCK_IDS = 1 << 16
-KNOWN_CHUNKS = 300_000
+PART_IDS = 1 << 22
+KNOWN_CHUNKS = 400_000
 TOGETHER = 256
 
 _SAFE = re.compile(r"(?<=\S)(?= )")
@@ -51,6 +53,8 @@ _BEFORE_BLANK = re.compile(r" (?:\s|\Z)")  # needed by the former, and found fas
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str) -> Tokenizer:
+    # tasks are the parallelism; threads of the library would compete with them
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
     return tokenizer
@@ -122,43 +126,61 @@ class _Encoder:
 
 
 def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """``doc_id``, ``n`` and packed ``ids`` (see ``id_type``) of every text, end id last."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """``doc_id``, ``n`` and packed ``ids`` (see ``id_type``) of every text, end id last.
+
+    Every task adds a row of its own at the end, with ``counts`` of its ids (64-bit, one
+    per id from 0) in place of ids, so that they need not be read again to be counted.
+    """
+    kind = docs.schema["doc_id"].dataType
     end = np.asarray([end_id], dtype=id_type(tokenizer_path)).tobytes()
+    schema = pa.schema(
+        [
+            ("doc_id", to_arrow_type(kind)),
+            ("n", pa.int64()),
+            ("ids", pa.binary()),
+            ("counts", pa.binary()),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder(tokenizer_path)
+        total = np.zeros(encoder.tokenizer.get_vocab_size(), dtype=np.int64)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": part.column("doc_id"),
-                        "n": pa.array([len(i) // len(end) + 1 for i in ids], pa.int64()),
-                        "ids": pa.array([i + end for i in ids], pa.binary()),
-                    }
-                )
+                ids = [i + end for i in ids]
+                whole = np.frombuffer(b"".join(ids), dtype=encoder.kind)
+                total += np.bincount(whole, minlength=len(total))
+                columns = [
+                    part.column("doc_id"),
+                    pa.array([len(i) // len(end) for i in ids], pa.int64()),
+                    pa.array(ids, pa.binary()),
+                    pa.nulls(len(ids), pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        if total.any():
+            own = {"doc_id": None, "n": None, "ids": None, "counts": total.tobytes()}
+            yield pa.RecordBatch.from_pylist([own], schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n bigint, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind.simpleString()}, n bigint, ids binary, counts binary"
+    )
 
 
-def id_counts(tokens: DataFrame, packed: np.dtype) -> DataFrame:
-    """``id`` and ``n`` over all rows; each task adds up its own part first."""
+def id_counts(tokens: DataFrame) -> dict[int, int]:
+    """How often each id occurs, from the rows of counts: one number per id is returned."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for value in batch.column("ids"):
-                got = np.bincount(np.frombuffer(value.as_py(), dtype=packed))
-                if len(got) > len(total):
-                    got, total = total, got.astype(np.int64)
-                total[: len(got)] += got
-        (used,) = total.nonzero()
-        yield pa.RecordBatch.from_pydict({"id": used.astype(np.int64), "n": total[used]})
+            for value in batch.column("counts"):
+                n = np.frombuffer(value.as_py(), dtype=np.int64)
+                (used,) = n.nonzero()
+                yield pa.RecordBatch.from_pydict({"id": used.astype(np.int64), "n": n[used]})
 
-    parts = tokens.select("ids").mapInArrow(run, "id bigint, n bigint")
-    return parts.groupBy("id").agg(F.sum("n").alias("n"))
+    own = tokens.filter(F.col("counts").isNotNull()).select("counts")
+    sums = own.mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return {r["id"]: r["n"] for r in sums.toLocalIterator()}
 
 
 def code_lengths(counts: dict[int, int], limit: int = LIMIT) -> dict[int, int]:
@@ -291,8 +313,18 @@ class CodeBook:
         return out
 
 
-def coded_rows(tokens: DataFrame, packed: np.dtype, lengths: dict[int, int]) -> DataFrame:
-    """``doc_id``, ``n``, ``payload`` and ``offsets`` of every document."""
+def part_bounds(tokens: DataFrame, parts: int) -> list[float]:
+    """First ``doc_id`` of every part but the first, for parts of about equal rows."""
+    if parts < 2:
+        return []
+    shares = [i / parts for i in range(1, parts)]
+    return sorted(set(tokens.approxQuantile("doc_id", shares, 0.2 / parts)))
+
+
+def coded_rows(
+    tokens: DataFrame, packed: np.dtype, lengths: dict[int, int], bounds: list[float]
+) -> DataFrame:
+    """``part``, ``doc_id``, ``n``, ``payload`` and ``offsets`` of every document."""
     kind = tokens.schema["doc_id"].dataType.simpleString()
     shared = tokens.sparkSession.sparkContext.broadcast(lengths)  # an entry per id in use
 
@@ -305,9 +337,16 @@ def coded_rows(tokens: DataFrame, packed: np.dtype, lengths: dict[int, int]) ->
                 ids = np.frombuffer(b"".join(raw), dtype=packed).astype(np.int64)
                 counts = np.asarray([len(r) // packed.itemsize for r in raw], dtype=np.int64)
                 payloads, offsets = book.pack(ids, counts)
+                doc_ids = part.column("doc_id")
+                known = doc_ids.drop_null().to_numpy()
+                place = np.zeros(len(doc_ids), dtype=np.int32)
+                place[doc_ids.is_valid().to_numpy(zero_copy_only=False)] = np.searchsorted(
+                    bounds, known, side="right"
+                )
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "doc_id": part.column("doc_id"),
+                        "part": pa.array(place),
+                        "doc_id": doc_ids,
                         "n": pa.array(counts),
                         "payload": pa.array(payloads, pa.binary()),
                         "offsets": pa.array(offsets, pa.list_(pa.int64())),
@@ -315,11 +354,11 @@ def coded_rows(tokens: DataFrame, packed: np.dtype, lengths: dict[int, int]) ->
                 )
 
     return tokens.select("doc_id", "ids").mapInArrow(
-        run, f"doc_id {kind}, n bigint, payload binary, offsets array<bigint>"
+        run, f"part int, doc_id {kind}, n bigint, payload binary, offsets array<bigint>"
     )
 
 
-def write_blocks(coded: DataFrame, path: str) -> None:
+def write_blocks(coded: DataFrame, parts: int, path: str) -> None:
     """Write documents in global ``doc_id`` order as blocks of about ``BLOCK_IDS`` ids.
 
     The code words are made before the rows are put in order, so that the shuffle moves
@@ -327,12 +366,13 @@ def write_blocks(coded: DataFrame, path: str) -> None:
     """
     kind = coded.schema["doc_id"].dataType
     schema = (
-        f"block bigint, first bigint, doc_ids array<{kind.simpleString()}>, counts array<bigint>,"
-        " payload binary, checkpoints array<bigint>"
+        f"part int, block bigint, first bigint, doc_ids array<{kind.simpleString()}>,"
+        " counts array<bigint>, payload binary, checkpoints array<bigint>"
     )
     lists = pa.list_(pa.int64())
     arrow = pa.schema(
         [
+            ("part", pa.int32()),
             ("block", pa.int64()),
             ("first", pa.int64()),
             ("doc_ids", pa.list_(to_arrow_type(kind))),
@@ -342,44 +382,45 @@ def write_blocks(coded: DataFrame, path: str) -> None:
         ]
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held, number, first = [], 0, 0, 0
-
-        def block() -> pa.RecordBatch:
-            begin = np.cumsum([0, *[len(r[2]) for r in rows]]) * 8
-            checkpoints = np.concatenate(
-                [np.asarray(r[3], dtype=np.int64) + b for r, b in zip(rows, begin, strict=False)]
-            )
-            one = {
-                "block": number,
-                "first": first,
-                "doc_ids": [r[0] for r in rows],
-                "counts": [r[1] for r in rows],
-                "payload": b"".join(r[2] for r in rows),
-                "checkpoints": checkpoints.tolist(),
-            }
-            return pa.RecordBatch.from_pylist([one], arrow)
+    def block(part: int, number: int, first: int, rows: list[tuple]) -> pa.RecordBatch:
+        begin = np.cumsum([0, *[len(r[2]) for r in rows]]) * 8
+        checkpoints = np.concatenate(
+            [np.asarray(r[3], dtype=np.int64) + b for r, b in zip(rows, begin, strict=False)]
+        )
+        one = {
+            "part": part,
+            "block": number,
+            "first": first,
+            "doc_ids": [r[0] for r in rows],
+            "counts": [r[1] for r in rows],
+            "payload": b"".join(r[2] for r in rows),
+            "checkpoints": checkpoints.tolist(),
+        }
+        return pa.RecordBatch.from_pylist([one], arrow)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows, held, number, first = None, [], 0, 0, 0
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("doc_id", "n", "payload", "offsets")]
-            for row in zip(*columns, strict=True):
+            names = ("part", "doc_id", "n", "payload", "offsets")
+            for part, *row in zip(*[batch.column(c).to_pylist() for c in names], strict=True):
+                if rows and (part != now or held >= BLOCK_IDS):
+                    yield block(now, number, first, rows)
+                    rows, held, number, first = [], 0, number + 1, first + held
+                if part != now:
+                    now, number, first = part, 0, 0
                 rows.append(row)
                 held += row[1]
-                if held >= BLOCK_IDS:
-                    yield block()
-                    rows, held, number, first = [], 0, number + 1, first + held
         if rows:
-            yield block()
+            yield block(now, number, first, rows)
 
-    ordered = coded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "payload")
-    blocks = ordered.mapInArrow(run, schema)
-    blocks.select(F.spark_partition_id().alias("part"), "*").write.option(
-        "compression", "uncompressed"
-    ).parquet(path)
+    ordered = coded.repartition(parts, "part").sortWithinPartitions("part", "doc_id", "payload")
+    ordered.mapInArrow(run, schema).write.option("compression", "uncompressed").parquet(path)
 
 
-def read_blocks(spark: SparkSession, lengths: dict[int, int], path: str) -> DataFrame:
-    """Per document, from the files: ``start``, ``n_tokens``, ``ids_crc32`` and packed ``ids``."""
+def read_blocks(
+    spark: SparkSession, lengths: dict[int, int], path: str, with_ids: bool = False
+) -> DataFrame:
+    """Per document, from the files: ``start``, ``n_tokens``, ``ids_crc32``; packed ``ids`` on request."""
     blocks = spark.read.parquet(path)
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     shared = spark.sparkContext.broadcast(lengths)
@@ -398,22 +439,21 @@ def read_blocks(spark: SparkSession, lengths: dict[int, int], path: str) -> Data
                     ids[end - n : end].astype("<u4").tobytes()
                     for end, n in zip(ends, counts, strict=True)
                 ]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "part": pa.array([cell["part"].as_py()] * len(raw), pa.int32()),
-                        "place": pa.array(cell["first"].as_py() + ends - counts, pa.int64()),
-                        "doc_id": cell["doc_ids"].values,
-                        "n_tokens": pa.array(counts, pa.int64()),
-                        "ids_crc32": pa.array([zlib.crc32(r) for r in raw], pa.int64()),
-                        "ids": pa.array(raw, pa.binary()),
-                    }
-                )
-
-    schema = (
-        f"part int, place bigint, doc_id {kind}, n_tokens bigint, ids_crc32 bigint, ids binary"
-    )
+                columns = {
+                    "part": pa.array([cell["part"].as_py()] * len(raw), pa.int32()),
+                    "place": pa.array(cell["first"].as_py() + ends - counts, pa.int64()),
+                    "doc_id": cell["doc_ids"].values,
+                    "n_tokens": pa.array(counts, pa.int64()),
+                    "ids_crc32": pa.array([zlib.crc32(r) for r in raw], pa.int64()),
+                }
+                if with_ids:
+                    columns["ids"] = pa.array(raw, pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    schema = f"part int, place bigint, doc_id {kind}, n_tokens bigint, ids_crc32 bigint"
+    schema += ", ids binary" if with_ids else ""
     decoded = blocks.mapInArrow(run, schema)
-    # one row per file: ids before a part are the ids of the parts in front of it
+    # one row per part: ids before a part are the ids of the parts in front of it
     sizes = blocks.groupBy("part").agg(
         F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("size")
     )
@@ -428,24 +468,30 @@ def read_blocks(spark: SparkSession, lengths: dict[int, int], path: str) -> Data
         (F.col("_before") + F.col("place")).alias("start"),
         "n_tokens",
         "ids_crc32",
-        "ids",
+        *(["ids"] if with_ids else []),
     )
 
 
-def stored_tokens(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
+def stored_tokens(
+    docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, with_ids: bool = False
+) -> DataFrame:
     """Encode, count, write the files to the shared folder, and read them back.
 
-    Ids are written once before the counts are taken, so texts are encoded once; the
-    files need one ordering shuffle of the code words. What goes to the driver is one row per
-    id of the vocabulary; what is broadcast is that code book and one row per file.
+    Ids are written once before the code is made, so texts are encoded once; the files
+    need one ordering shuffle of the code words, into parts of about ``PART_IDS`` ids
+    by bounds of ``doc_id`` (a number). What goes to the driver is one row per id of the
+    vocabulary and one bound per part; what is broadcast is the code book and one row per
+    part.
     """
     spark = ship(docs.sparkSession)
     staged = scratch_path(spark, "tokens")
     token_rows(docs, tokenizer_path, end_id).write.option("compression", "zstd").parquet(staged)
-    tokens = spark.read.parquet(staged)
-    packed = id_type(tokenizer_path)
-    counts = id_counts(tokens, packed).toLocalIterator()
-    lengths = code_lengths({r["id"]: r["n"] for r in counts})
+    stored = spark.read.parquet(staged)
+    counts = id_counts(stored)
+    lengths = code_lengths(counts)
+    tokens = stored.filter(F.col("counts").isNull())
+    parts = max(1, -(-sum(counts.values()) // PART_IDS))
     files = scratch_path(spark, "token-blocks")
-    write_blocks(coded_rows(tokens, packed, lengths), files)
-    return read_blocks(spark, lengths, files)
+    bounds = part_bounds(tokens, parts)
+    write_blocks(coded_rows(tokens, id_type(tokenizer_path), lengths, bounds), parts, files)
+    return read_blocks(spark, lengths, files, with_ids)

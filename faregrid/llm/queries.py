@@ -59,7 +59,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return huffman.stored_tokens(documents(spark, sf_dir), path).drop("ids")
+    return huffman.stored_tokens(documents(spark, sf_dir), path)
 
 
 def op6_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,7 +69,7 @@ def test_remembered_chunks_keep_the_ids(text):
     want = huffman._tokenizer(VOCABULARY).encode(text, add_special_tokens=False).ids
     for _ in range(2):
         (raw,) = encoder.encode([text])
-        assert np.frombuffer(raw, "<u4").tolist() == want
+        assert np.frombuffer(raw, encoder.kind).tolist() == want
 
 
 def kraft(lengths):
@@ -99,8 +99,12 @@ def test_pack_and_unpack(size):
     book = huffman.CodeBook(
         huffman.code_lengths(dict(zip(values.tolist(), counts.tolist(), strict=True)))
     )
-    payload, checkpoints = book.pack(ids)
-    assert book.unpack(payload, checkpoints, size).tolist() == ids.tolist()
+    parts = np.diff([0, *sorted({0, size // 3, size // 2, size})])
+    payloads, offsets = book.pack(ids, parts)
+    begin = np.cumsum([0, *[8 * len(p) for p in payloads]])
+    checkpoints = np.concatenate([o + b for o, b in zip(offsets, begin, strict=False)])
+    assert book.unpack(b"".join(payloads), checkpoints, parts).tolist() == ids.tolist()
+    (payload,), _ = book.pack(ids, np.asarray([size]))
     # one bit at a time, from the codes alone
     bits = "".join(f"{b:08b}" for b in payload)
     table = {f"{book.codes[i]:0{book.lengths[i]}b}": i for i in values}
@@ -118,7 +122,7 @@ def test_pack_and_unpack(size):
 def test_stored_tokens(spark, edge_docs, no_docs):
     tokenizer = Tokenizer.from_file(VOCABULARY)
     tokenizer.encode_special_tokens = True
-    want, start = [], 0
+    start = 0
     rows = [
         (
             r["doc_id"],
@@ -128,9 +132,25 @@ def test_stored_tokens(spark, edge_docs, no_docs):
         )
         for r in edge_docs.collect()
     ]
-    for doc_id, raw in sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1])):
-        want.append((doc_id, start, len(raw) // 4, zlib.crc32(raw)))
-        start += len(raw) // 4
-    got = huffman.stored_tokens(edge_docs, VOCABULARY).orderBy("start").collect()
-    assert [(r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got] == want
+    got = huffman.stored_tokens(edge_docs, VOCABULARY, with_ids=True).orderBy("start").collect()
+    have = [(r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got]
+    key = lambda x: (x[0] is not None, x[0] or 0)
+    assert [key(h) for h in have] == sorted(map(key, have))
+    for r in got:
+        assert r["start"] == start
+        start += r["n_tokens"]
+    want = [(doc_id, len(raw) // 4, zlib.crc32(raw)) for doc_id, raw in rows]
+    assert sorted(have, key=str) == sorted(want, key=str)
+    assert all(zlib.crc32(r["ids"]) == r["ids_crc32"] for r in got)
     assert huffman.stored_tokens(no_docs, VOCABULARY).count() == 0
+
+
+def test_many_parts_and_blocks(spark, monkeypatch, edge_docs):
+    """The same stream whatever the number of parts and blocks."""
+    docs = spark.range(500).selectExpr("500 - id AS doc_id", "repeat(concat('word ', id, ' '), id % 40) AS text")
+    columns = ("doc_id", "start", "n_tokens", "ids_crc32")
+    read = lambda df: [tuple(r[c] for c in columns) for r in df.orderBy("start").collect()]
+    whole = read(huffman.stored_tokens(docs, VOCABULARY))
+    monkeypatch.setattr(huffman, "PART_IDS", 3000)
+    parts = huffman.stored_tokens(docs.repartition(3), VOCABULARY)
+    assert read(parts) == whole and [r[0] for r in whole] == list(range(1, 501))
