@@ -39,7 +39,7 @@ from faregrid.llm.ship import ship
 from faregrid.session import scratch_path
 
 END_ID = 2
-LIMIT = 18
+LIMIT = 16
 STRIDE = 256
 BLOCK_IDS = 1 << 16
 PART_IDS = 1 << 22
@@ -240,16 +240,15 @@ class CodeBook:
         self.lengths = np.zeros(size, dtype=np.int64)
         self.codes = np.zeros(size, dtype=np.int64)
         self.bits = max(lengths.values(), default=1)
-        self.symbol = np.zeros(1 << self.bits, dtype=np.uint32)
-        self.width = np.zeros(1 << self.bits, dtype=np.int64)
+        # id and width of the code at each prefix, in one number: one look-up per id
+        self.table = np.zeros(1 << self.bits, dtype=np.uint32)
         code = last = 0
         for i in order:
             code <<= lengths[i] - last
             last = lengths[i]
             self.codes[i], self.lengths[i] = code, last
             low = code << (self.bits - last)
-            self.symbol[low : low + (1 << (self.bits - last))] = i
-            self.width[low : low + (1 << (self.bits - last))] = last
+            self.table[low : low + (1 << (self.bits - last))] = i << 5 | last
             code += 1
 
     def pack(
@@ -299,7 +298,7 @@ class CodeBook:
         size[last] = (counts - (stretches - 1) * stride)[stretches > 0]
         begin = np.cumsum(size) - size
         longest = np.argsort(-size, kind="stable")
-        at, place = checkpoints[longest].astype(np.int64), begin[longest]
+        at, place = checkpoints[longest].astype(np.uint32), begin[longest]
         out = np.zeros(int(size.sum()), dtype=np.uint32)
         alive = np.searchsorted(-size[longest], -np.arange(stride), side="left")
         top = np.uint32(32 - self.bits)
@@ -307,9 +306,9 @@ class CodeBook:
         for step in range(int(size.max(initial=0))):
             live = at[: alive[step]]
             # a prefix of at most 25 bits begins anywhere in a byte of the window
-            seen = (window[live >> 3] >> (top - (live & 7).astype(np.uint32))) & mask
-            out[place[: alive[step]] + step] = self.symbol[seen]
-            live += self.width[seen]
+            seen = self.table[(window[live >> 3] >> (top - (live & 7))) & mask]
+            out[place[: alive[step]] + step] = seen >> 5
+            live += seen & 31
         return out
 
 
@@ -435,9 +434,10 @@ def read_blocks(
                     cell["payload"].as_py(), cell["checkpoints"].values.to_numpy(), counts
                 )
                 ends = np.cumsum(counts)
+                whole = memoryview(ids.astype("<u4", copy=False).tobytes())
                 raw = [
-                    ids[end - n : end].astype("<u4").tobytes()
-                    for end, n in zip(ends, counts, strict=True)
+                    whole[4 * (end - n) : 4 * end]
+                    for end, n in zip(ends.tolist(), counts.tolist(), strict=True)
                 ]
                 columns = {
                     "part": pa.array([cell["part"].as_py()] * len(raw), pa.int32()),
@@ -447,7 +447,7 @@ def read_blocks(
                     "ids_crc32": pa.array([zlib.crc32(r) for r in raw], pa.int64()),
                 }
                 if with_ids:
-                    columns["ids"] = pa.array(raw, pa.binary())
+                    columns["ids"] = pa.array([bytes(r) for r in raw], pa.binary())
                 yield pa.RecordBatch.from_pydict(columns)
 
     schema = f"part int, place bigint, doc_id {kind}, n_tokens bigint, ids_crc32 bigint"
@@ -488,7 +488,7 @@ def stored_tokens(
     token_rows(docs, tokenizer_path, end_id).write.option("compression", "zstd").parquet(staged)
     stored = spark.read.parquet(staged)
     counts = id_counts(stored)
-    lengths = code_lengths(counts)
+    lengths = code_lengths(counts, max(LIMIT, len(counts).bit_length()))
     tokens = stored.filter(F.col("counts").isNull())
     parts = max(1, -(-sum(counts.values()) // PART_IDS))
     files = scratch_path(spark, "token-blocks")
