@@ -244,3 +244,21 @@ def test_redacted_keeps_columns(edge_docs, no_docs):
     got = pii.redacted(edge_docs)
     assert got.schema.names == edge_docs.columns and got.count() == edge_docs.count()
     assert pii.redacted(no_docs).count() == 0
+
+
+def test_addresses_with_a_plain_at(spark):
+    texts = [
+        "write to john at example[dot]com now",
+        "write to john at mail.example dot org now",
+        "write to john at example.com now",
+        "write to abcé@abcde.ef now",
+        "we met at noon. Then we left",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    shown = pii.candidates(pii.base_spans(docs, "doc_id"), "doc_id")
+    proposed = {r["doc_id"]: [(x["b"], x["e"]) for x in r["_more_email"]] for r in shown.collect()}
+    assert [proposed[i] for i in range(3)] == [[(9, 32)], [(9, 37)], [(9, 28)]]
+    assert proposed[4] == [(3, 20)]  # a look-alike the trees are to refuse
+    found = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).collect()}
+    assert found[0] == "email:9:32" and found[1] == "email:9:37" and found[4] == ""
+    assert found[3] == "email:9:22"
