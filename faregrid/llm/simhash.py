@@ -254,12 +254,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: of every component its smallest ``doc_id``.
+    """The rows of ``docs`` that stay: of every group of near copies its smallest ``doc_id``.
 
-    A row repeated with the same ``doc_id`` and text stays once; rows without a
+    Groups are those of ``nearcopies`` (five-word shingles, similarity 0.8 or more); the
+    fingerprints and constants above are those of op8 only. A row repeated with the same ``doc_id`` and text stays once; rows without a
     ``doc_id`` cannot be named as copies of another and stay, equal texts once.
     """
-    judged = near_duplicates(docs)
+    from faregrid.llm.nearcopies import near_copies  # it uses the words of this module
+
+    judged = near_copies(docs)
     gone = judged.filter(F.col("doc_id") != F.col("component_id")).select(
         F.col("doc_id").alias("_gone")
     )
