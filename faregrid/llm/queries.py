@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faregrid.llm import bpe, forest, huffman, langid, maintext, mixing, pii, quality, shards, simhash
+from faregrid.llm import (
+    bpe,
+    forest,
+    huffman,
+    langid,
+    maintext,
+    mixing,
+    pii,
+    quality,
+    shards,
+    simhash,
+    turntrie,
+)
 from faregrid.llm.oracles import ORACLES  # noqa: F401  (registered beside the queries)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +98,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turntrie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -99,5 +115,6 @@ QUERIES: dict[str, Query] = {
         op8_simhash_anchors,
         op9_boosted_spans,
         op10_source_mix,
+        op13_turn_trie,
     )
 }
