@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from faregrid.llm.mixing import BITS, BLOCK, GOLDEN, MOST_EPOCHS, WEIGHTS
+from faregrid.llm.phrases import FIRST, FREQUENT, LONGEST, UND
 from faregrid.llm.quality import RULES, STOP_WORDS, SYMBOLS
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -106,4 +107,42 @@ SELECT doc_id, size, source_size, target,
 FROM placed p JOIN plan ON p.source IS NOT DISTINCT FROM plan.source"""
 
 
-ORACLES = {"op2_quality_rules": quality_sql(), "op10_source_mix": mix_sql()}
+def phrases_sql() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+WITH p AS (
+  SELECT coalesce(lang, '{UND}') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{lower}'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+total AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM w GROUP BY lang),
+spans AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+          FROM (SELECT lang, ws, unnest(range(1, {LONGEST + 1})) AS k FROM w) WHERE len(ws) >= k),
+f AS (SELECT lang, k, ws[i:i + k - 1] AS words, count(*)::HUGEINT AS a FROM spans
+      GROUP BY 1, 2, 3 HAVING count(*) >= {FREQUENT}),
+cuts AS (SELECT lang, words, a, c, words[1:c] AS lw, words[c + 1:k] AS rw
+         FROM (SELECT lang, k, words, a, unnest(range(1, k)) AS c FROM f WHERE k >= 2)),
+scored AS (SELECT c.lang, c.words, c.a, c.c, x.a AS l, y.a AS r, t.n,
+                  (1000 * c.a * t.n) // (x.a * y.a) AS score
+           FROM cuts c JOIN f x ON x.lang = c.lang AND x.words = c.lw
+                JOIN f y ON y.lang = c.lang AND y.words = c.rw JOIN total t ON t.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, c) = 1),
+inner_spans AS (SELECT lang, a, words[i:i + s - 1] AS part
+                FROM (SELECT lang, k, a, words, s, unnest(range(1, k - s + 2)) AS i
+                      FROM (SELECT lang, k, a, words, unnest(range(2, k)) AS s FROM f WHERE k >= 3))),
+inside AS (SELECT lang, part, max(a) AS most FROM inner_spans GROUP BY 1, 2),
+alone AS (SELECT b.*, array_to_string(b.words, ' ') AS phrase
+          FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.part = b.words
+          WHERE i.most IS NULL OR 100 * i.most < 100 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM alone QUALIFY rank <= {FIRST}
+"""
+
+
+ORACLES = {
+    "op2_quality_rules": quality_sql(),
+    "op10_source_mix": mix_sql(),
+    "op11_phrase_tries": phrases_sql(),
+}

@@ -15,6 +15,7 @@ from faregrid.llm import (
     langid,
     maintext,
     mixing,
+    phrases,
     pii,
     quality,
     shards,
@@ -98,6 +99,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
 def op13_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turntrie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -115,6 +120,7 @@ QUERIES: dict[str, Query] = {
         op8_simhash_anchors,
         op9_boosted_spans,
         op10_source_mix,
+        op11_phrase_tries,
         op13_turn_trie,
     )
 }
