@@ -20,6 +20,7 @@ from faregrid.llm import (
     quality,
     shards,
     simhash,
+    toxicity,
     turntrie,
 )
 from faregrid.llm.oracles import ORACLES  # noqa: F401  (registered beside the queries)
@@ -103,6 +104,18 @@ def op11_phrase_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(documents(spark, sf_dir))
 
 
+def op12_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels.filter(langid.crc_fold(F.col("doc_id")) != 0))
+    return toxicity.scores(docs, model).select(
+        "doc_id",
+        (langid.crc_fold(F.col("doc_id")) == 0).alias("held_out"),
+        "score",
+        "predicted",
+    )
+
+
 def op13_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turntrie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
@@ -121,6 +134,7 @@ QUERIES: dict[str, Query] = {
         op9_boosted_spans,
         op10_source_mix,
         op11_phrase_tries,
+        op12_weak_toxicity,
         op13_turn_trie,
     )
 }
