@@ -1,10 +1,10 @@
 """Phrases that occur more often than their parts explain, mined level by level.
 
-Words are counted per language first. A phrase of k words can only be frequent if its
-first and its last k - 1 words are. The frequent phrases of a level are marked in a bitmap
-of a fixed size, by hash; a chance hit only lets a phrase through that is counted for
-nothing. Phrases seen in the texts whose two parts are marked are the candidates of the
-next level, those below the threshold are left out by sums over the shuffle.
+Words are counted per language first. A phrase can only be frequent if all shorter phrases
+in it are. Frequent words, and then frequent pairs, are marked in a bitmap of a fixed size,
+by hash; a chance hit only lets a phrase through that is counted for nothing. Pairs seen in
+the texts whose words are marked, and phrases of three to five words whose pairs are all
+marked, are candidates; those below the threshold are left out by sums over the shuffle.
 
 The counts of the result come from one more pass: all candidates, of one to five words,
 stand in double-array tries of at most ``TRIE`` phrases each, and every trie is broadcast
@@ -39,13 +39,14 @@ FIRST = 2000
 TRIE = 1 << 18
 BITS = 1 << 24
 PART = 1 << 15  # bits of one piece of the bitmap, as bitmap_construct_agg makes them
-BATCH = 1 << 21  # bytes of texts that are cut into words together
+BATCH = 1 << 23  # bytes of texts that are cut into words together
+BLOCK = 1 << 12  # counts that travel together
 HELD = 1 << 17  # counts a task holds before it hands them on
 
 UND = "und"
-_BREAK = b"\xff"  # in no UTF-8 text
+_BREAK = b"."  # in no word
 _FOLD = bytes.maketrans(
-    b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0a\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 10
+    b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t,;:!?\x0a\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz " + b"." * 9
 )
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -70,8 +71,9 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Dictio
 
 
 def _cut(texts: list[bytes]) -> pa.DictionaryArray:
-    words = b"\n".join(texts).replace(b"\n", b" \xff ").split()
-    return pa.array(words, pa.binary()).dictionary_encode()
+    whole = pa.array([b".".join(texts).replace(b".", b" . ").strip()], pa.large_binary())
+    words = pc.ascii_split_whitespace(whole.cast(pa.large_string())).flatten().dictionary_encode()
+    return pa.DictionaryArray.from_arrays(words.indices, words.dictionary.cast(pa.binary()))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -157,6 +159,7 @@ def _bitmap(frequent: DataFrame, k: int) -> np.ndarray:
         .agg(F.bitmap_construct_agg((F.col("place") % PART).cast("bigint")).alias("bits"))
         .toArrow()
     )
+    # at most BITS // PART rows
     out = np.zeros((BITS // PART, PART // 8), dtype=np.uint8)
     for part, bits in zip(table.column("part").to_pylist(), table.column("bits").to_pylist(), strict=True):
         out[part] = np.frombuffer(bits, dtype=np.uint8)
@@ -181,22 +184,27 @@ def _distinct(words: pa.DictionaryArray, at: np.ndarray, k: int) -> tuple[np.nda
     return at[first], n
 
 
-def candidates(docs: DataFrame, frequent: DataFrame, k: int) -> DataFrame:
-    """``lang`` and ``phrase`` of ``k`` words with both parts in ``frequent``, often enough in all.
+def candidates(docs: DataFrame, frequent: DataFrame, part: int, sizes: tuple[int, ...]) -> DataFrame:
+    """Phrases of ``sizes`` words whose parts are all in ``frequent``, often enough in all.
 
-    ``frequent`` are the phrases of ``k - 1`` words.
+    ``frequent`` are the phrases of ``part`` words.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(frequent, k - 1))
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(frequent, part))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for lang, words in _batches(batches):
-            place, there = _phrase_marks(_word_marks(words, lang), k - 1)
+            place, there = _phrase_marks(_word_marks(words, lang), part)
             there &= (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-            (at,) = np.nonzero(there[:-1] & there[1:])
-            if len(at):
-                at, n = _distinct(words, at, k)
-                yield _rows(lang, _joined(words, at, k), n)
+            (at,) = np.nonzero(there)
+            reach = part
+            for k in sizes:
+                for reach in range(reach + 1, k + 1):
+                    at = at[at + reach - part < len(there)]
+                    at = at[there[at + reach - part]]
+                if len(at):
+                    first, n = _distinct(words, at, k)
+                    yield _rows(lang, _joined(words, first, k), n)
 
     return (
         _texts(docs)
@@ -209,7 +217,7 @@ def candidates(docs: DataFrame, frequent: DataFrame, k: int) -> DataFrame:
 
 
 def _trie(table: pa.Table) -> tuple[dict[str, dict[bytes, int]], DoubleArray, np.ndarray]:
-    """Word codes of each language, the double array, and the row of ``table`` a place accepts."""
+    """Word codes of each language, the double array, and the accepting place of each row."""
     codes: dict[str, dict[bytes, int]] = {}
     most = 0
     rows = []
@@ -228,8 +236,8 @@ def _trie(table: pa.Table) -> tuple[dict[str, dict[bytes, int]], DoubleArray, np
     start = np.r_[0, np.cumsum([len(line) for line, _ in rows])].astype(np.int64)
     nodes = nodes_of(np.asarray([c for line, _ in rows for c in line], dtype=np.int64), start)
     trie = pack(nodes, most)
-    accepts = np.full(len(trie.base), -1, dtype=np.int64)
-    accepts[trie.place[nodes.last]] = [number for _, number in rows]
+    accepts = np.zeros(len(table), dtype=np.int64)
+    accepts[[number for _, number in rows]] = trie.place[nodes.last]
     trie.node = np.zeros(0, dtype=np.int64)  # not needed for the walk
     return codes, trie, accepts
 
@@ -242,7 +250,7 @@ def _counted(docs: DataFrame, part: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, trie, accepts = shared.value
-        total = np.zeros(len(accepts), dtype=np.int64)
+        total = np.zeros(len(trie.base), dtype=np.int64)
         for lang, words in _batches(batches):
             own = codes.get(lang)
             if not own:
@@ -257,14 +265,33 @@ def _counted(docs: DataFrame, part: DataFrame) -> DataFrame:
                 state = trie.step(state, code[position + depth])
                 position, state = position[state >= 0], state[state >= 0]
                 total += np.bincount(state, minlength=len(total))
-        (at,) = np.nonzero((accepts >= 0) & (total > 0))
-        for lo in range(0, len(at), 1 << 16):
-            cut = at[lo : lo + (1 << 16)]
-            yield pa.RecordBatch.from_pydict({"row": pa.array(accepts[cut]), "n": pa.array(total[cut])})
+        yield from _blocks({lo // BLOCK: total[accepts[lo : lo + BLOCK]] for lo in range(0, len(accepts), BLOCK)})
 
-    sums = _texts(docs).mapInArrow(run, "row bigint, n bigint").groupBy("row").agg(F.sum("n").alias("n"))
-    named = spark.createDataFrame(table.append_column("row", pa.array(range(len(table)), pa.int64())))
-    return staged(named.join(sums, "row").select("lang", "phrase", "n"), "phrase-counts")
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "counts")), strict=True):
+                own = np.frombuffer(counts, dtype=np.int64)
+                held[block] = held[block] + own if block in held else own
+        yield from _blocks(held)
+
+    kind = "block bigint, counts binary"
+    parts = _texts(docs).mapInArrow(run, kind).repartition("block").mapInArrow(summed, kind)
+    found = np.zeros(len(table), dtype=np.int64)
+    for row in parts.toArrow().to_pylist():
+        at = row["block"] * BLOCK
+        found[at : at + BLOCK] = np.frombuffer(row["counts"], dtype=np.int64)
+    return staged(spark.createDataFrame(table.append_column("n", pa.array(found))), "phrase-counts")
+
+
+def _blocks(counts: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    if counts:
+        yield pa.RecordBatch.from_pydict(
+            {
+                "block": pa.array(list(counts), pa.int64()),
+                "counts": pa.array([c.tobytes() for c in counts.values()], pa.binary()),
+            }
+        )
 
 
 def phrase_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -272,16 +299,10 @@ def phrase_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ship(docs.sparkSession)
     words = staged(word_counts(docs), "word-counts")
     total = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    level = staged(words.filter(F.col("n") >= FREQUENT).select("lang", "phrase"), "frequent-1")
-    levels = [level]
-    for k in range(2, LONGEST + 1):
-        if level.isEmpty():
-            break
-        level = staged(candidates(docs, level, k), f"frequent-{k}")
-        levels.append(level)
-    every = levels[0]
-    for level in levels[1:]:
-        every = every.union(level)
+    single = staged(words.filter(F.col("n") >= FREQUENT).select("lang", "phrase"), "frequent-words")
+    pairs = staged(candidates(docs, single, 1, (2,)), "frequent-pairs")
+    more = staged(candidates(docs, pairs, 2, tuple(range(3, LONGEST + 1))), "frequent-phrases")
+    every = single.union(pairs).union(more)
     passes = max(1, -(-every.count() // TRIE))
     dealt = every.withColumn("_pass", F.pmod(F.xxhash64("lang", "phrase"), F.lit(passes)))
     counts = None
