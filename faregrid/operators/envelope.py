@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,11 +80,11 @@ def encode_payload(trips: DataFrame, stamp: Column, keep: list[str] | None = Non
     return trips.select(*(keep or []), F.to_json(payload).alias("raw_json"))
 
 
-def decode_payload(envelope: DataFrame) -> DataFrame:
+def decode_payload(envelope: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Payload text to typed columns; whatever cannot be read becomes NULL.
 
     Money is rounded to cents. Missing values are left to the row rules, which
-    send such rows to the dead letters.
+    send such rows to the dead letters. Columns named in ``keep`` are passed on.
 
     Both steps go through ``inline`` of a one-element array: a filter on the
     typed columns is then not rewritten in terms of the payload, which would
@@ -97,7 +99,12 @@ def decode_payload(envelope: DataFrame) -> DataFrame:
     def money(name: str) -> Column:
         return F.round(nan_to_null(F.col(name)), 2).alias(name)
 
-    origin = ["kafka_partition", "kafka_offset", F.col("ingestion_timestamp").alias("arrived")]
+    origin = [
+        "kafka_partition",
+        "kafka_offset",
+        *keep,
+        F.col("ingestion_timestamp").alias("arrived"),
+    ]
     fields = envelope.select(
         *origin, F.inline(F.array(F.from_json("raw_json", PAYLOAD_SCHEMA)))
     )
@@ -115,7 +122,7 @@ def decode_payload(envelope: DataFrame) -> DataFrame:
         "payment_type",
     )
     decoded = fields.select(
-        F.inline(F.array(typed)), "kafka_partition", "kafka_offset", "arrived"
+        F.inline(F.array(typed)), "kafka_partition", "kafka_offset", *keep, "arrived"
     )
     return decoded.withColumnRenamed("arrived", "ingestion_timestamp").withColumn(
         "silver_timestamp", F.current_timestamp()

@@ -17,6 +17,7 @@ from faregrid.functions.measures import (
     TOTAL,
     Measure,
     exact_mean,
+    exact_sum,
     mean,
     mean_ratio_percent,
     total,
@@ -130,7 +131,7 @@ def borough_revenue(boroughs: DataFrame) -> DataFrame:
     return rows.select(
         "borough",
         "total_trips",
-        F.col(REVENUE.units).cast("double").alias("total_revenue"),
+        exact_sum(REVENUE).alias("total_revenue"),
         mean(AVG_FARE).alias("avg_fare"),
     ).orderBy(F.desc("total_revenue"), "borough")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -65,8 +66,8 @@ def enriched_metered(kept: DataFrame, hourly: DataFrame) -> DataFrame:
     return with_weather(kept, hourly)
 
 
-def stream_trips(envelope: DataFrame) -> DataFrame:
-    return with_time_features(decode_payload(envelope), "pickup_datetime", STREAM_RUSH)
+def stream_trips(envelope: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return with_time_features(decode_payload(envelope, keep), "pickup_datetime", STREAM_RUSH)
 
 
 def stream_silver(envelope: DataFrame, hourly: DataFrame | None = None) -> Silver:
