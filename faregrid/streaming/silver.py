@@ -2,7 +2,8 @@
 
 Duplicates are removed by the state of the stream: a business key is remembered until the
 arrival time of messages has passed it by ``delay``. Arrival times come from the broker, so a
-wrong time inside a payload cannot move the watermark. Failing rows have a key of their own.
+wrong time inside a payload cannot move the watermark. A failing row has its place in the topic
+and its content for a key, so only the same message twice counts as a repeat.
 
 Every micro-batch is one write, kept rows and dead letters side by side, into the folder of
 its batch number. A batch that is repeated after a failure replaces its folder: nothing is
@@ -40,7 +41,8 @@ _OWN = "__own_key"
 def judged(messages: DataFrame, delay: str = DELAY) -> DataFrame:
     """Messages with flags and outcome, each business key once within ``delay``."""
     flagged = quality.with_flags(stream_trips(raw_envelope(messages), keep=[ARRIVED]), RULES)
-    own = F.concat_ws(":", "kafka_partition", "kafka_offset")
+    content = [c for c in flagged.columns if c not in ("ingestion_timestamp", "silver_timestamp")]
+    own = F.concat_ws(":", "kafka_partition", "kafka_offset", F.xxhash64(*content))
     return (
         flagged.withColumn(_OWN, F.when(~F.col("is_valid"), own))
         .withWatermark(ARRIVED, delay)
