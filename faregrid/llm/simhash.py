@@ -257,17 +257,21 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: of every group of near copies its smallest ``doc_id``.
 
     Groups are those of ``nearcopies`` (five-word shingles, similarity 0.8 or more); the
-    fingerprints and constants above are those of op8 only. A row repeated with the same ``doc_id`` and text stays once; rows without a
-    ``doc_id`` cannot be named as copies of another and stay, equal texts once.
+    fingerprints and constants above are those of op8 only. Rows are told apart by
+    ``doc_id`` and text, so an id that other texts share takes none of them along. A row
+    repeated with the same ``doc_id`` and text stays once; rows without a ``doc_id`` cannot be
+    named as copies of another and stay, equal texts once.
     """
     from faregrid.llm.nearcopies import near_copies  # it uses the words of this module
 
     judged = near_copies(docs)
-    gone = judged.filter(F.col("doc_id") != F.col("component_id")).select(
-        F.col("doc_id").alias("_gone")
+    stands = (F.col("doc_id") == F.col("component_id")) & (F.col("text_hash") == F.col("first_hash"))
+    gone = judged.filter(~stands).select(
+        F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_text")
     )
     whole, names = set_aside(docs, "doc_id", "text")
-    left = whole.join(gone.distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
+    copy = (F.col("doc_id") == F.col("_gone")) & (F.xxhash64("text") == F.col("_gone_text"))
+    left = whole.join(gone.distinct(), copy, "left_anti")
     same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*names.values()))
     once = left.withColumn("_copy", F.row_number().over(same)).filter("_copy = 1")
     return put_back(once, names)

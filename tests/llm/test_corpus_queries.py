@@ -13,7 +13,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import __spark_entry__ as entry  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from faregrid.llm import mixing, pii, quality, queries, simhash  # noqa: E402
+from faregrid.llm import mixing, pii, quality, queries  # noqa: E402
+from tests.llm.test_nearcopies import plain_groups  # noqa: E402
 from tools.check import connect, difference  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
@@ -90,8 +91,8 @@ def test_stages_keep_the_columns_and_take_effect(spark):
     assert {r["doc_id"] for r in good.collect()} == kept
 
     single = by_name["near-duplicates"](spark, good, SMALL)
-    groups = simhash.near_duplicates(good).collect()
-    assert sorted(r["doc_id"] for r in single.collect()) == sorted({r["component_id"] for r in groups})
+    groups = plain_groups([(r["doc_id"], r["text"]) for r in good.collect()])
+    assert sorted(r["doc_id"] for r in single.collect()) == sorted(set(groups.values()))
 
     clean = by_name["personal data"](spark, single, SMALL)
     assert clean.columns == docs.columns

@@ -75,3 +75,34 @@ def test_groups_of_the_documents_equal_brute_force(spark, scale):
     want = plain_groups([(r["doc_id"], r["text"]) for r in docs.collect()])
     kept = sorted(r["doc_id"] for r in simhash.one_of_each(docs).collect())
     assert kept == sorted(set(want.values()))
+
+
+def kept_rows(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node string, size int")
+    return sorted(((r["doc_id"], r["text"]) for r in simhash.one_of_each(docs.repartition(3)).collect()), key=str)
+
+
+def test_ids_shared_by_texts_and_missing_ids(spark):
+    one, other, third = "a b c d e f g h", "other words of another text here", "once more something else is said"
+    rows = [(1, one), (2, one), (2, other), (1, one), (None, one), (None, third), (None, third), (4, None), (5, "")]
+    want = [(1, one), (2, other), (None, one), (None, third), (4, None)]
+    assert kept_rows(spark, [(*r, "x", 7) for r in rows]) == sorted(want, key=str)
+    assert kept_rows(spark, []) == []
+
+
+def test_one_id_for_two_texts_of_one_group(spark):
+    words = [f"w{i}" for i in range(80)]
+    near = " ".join([*words, "end"])
+    rows = [(3, " ".join(words)), (3, near), (8, near + " more")]
+    assert len(kept_rows(spark, [(*r, "x", 7) for r in rows])) == 1
+
+
+def test_a_shingle_that_very_many_texts_hold(spark):
+    """A common passage in otherwise different texts, beside a chain of true copies."""
+    rng = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(i, passage + " " + " ".join(f"u{rng.randint(0, 10**6)}" for _ in range(40))) for i in range(300)]
+    rows += [(1000 + i, rows[7][1] + f" tail{i}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in nearcopies.near_copies(docs).collect()}
+    assert got == plain_groups(rows)
