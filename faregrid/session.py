@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,15 +58,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def clear_scratch(spark: SparkSession) -> int:
+def scratch_paths(spark: SparkSession) -> tuple[str, ...]:
+    """What this application has in the shared folder and has not removed."""
+    return tuple(_made.get(spark.sparkContext.applicationId, ()))
+
+
+def clear_scratch(spark: SparkSession, only: Iterable[str] | None = None) -> int:
     """Remove what this application left in the shared folder; results must be read before.
 
-    Returns how many paths there were.
+    ``only`` names the paths to remove. Returns how many paths there were.
     """
-    paths = _made.pop(spark.sparkContext.applicationId, [])
+    made = _made.get(spark.sparkContext.applicationId, [])
+    wanted = None if only is None else set(only)
+    paths = [p for p in made if wanted is None or p in wanted]
     for path in paths:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        made.remove(path)
     return len(paths)
 
 
