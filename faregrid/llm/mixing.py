@@ -6,13 +6,15 @@ and the excess is shared again by weight among the others.
 
 The mix is a row of slots of ``BLOCK`` words. Slot ``i`` has the golden-ratio point
 ``i * phi mod 1``; the source whose stretch of the cumulative targets holds the point
-gets the slot. Only the number of slots of a source is used: it takes that many blocks
-from the front of its documents, which stand in a shuffled order by the MD5 of
-``doc_id`` and repeat when they end. Slots are not joined with blocks.
+gets the slot. Slots are ranked per source. The documents of a source stand in a
+shuffled order by the MD5 of ``doc_id``, repeat when they end and are cut into blocks of
+as many words; the slot of rank ``r`` is joined with block ``r``, and a document takes
+the words that its blocks have in slots. ``first_slot`` is the earliest of those slots.
 
-Everything is DataFrame work. Only per-source rows pass through one window; documents
-are summed bucket by bucket, so a source with a third of all rows is spread over as
-many tasks as it has thousands of documents.
+Everything is DataFrame work. Slots are ranked range by range and documents summed bucket
+by bucket, so a source with a third of all words is spread over as many tasks as it has
+thousands of slots and documents. One window row stands for each source, or for each
+``WIDE`` ranges of it.
 
 Defined results: a null or blank text has size 0 and is taken 0 times; documents whose
 ``doc_id`` and size agree are alike and share their place in any order; a null source
@@ -34,12 +36,14 @@ BUCKET_ROWS = 2000
 BITS = 31
 GOLDEN = 1_327_217_885  # 2**31 divided by the golden ratio, made odd
 CELLS = 4096
+RANGE = 4096
+WIDE = 4096
 
 MODULUS = 1 << BITS
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
-    """Adds ``weight``, ``target`` and the stretch ``low`` to ``high`` of the unit of points.
+    """Adds ``number``, ``weight``, ``target`` and the stretch ``low`` to ``high`` of all points.
 
     ``sizes`` has one row per source: ``source``, ``source_size``. With targets
     ``min(cap, level * weight)`` the caps bind in order of cap per weight, so running
@@ -55,7 +59,8 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     earlier = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
     later = by_ratio.rowsBetween(0, Window.unboundedFollowing)
     ranked = (
-        sizes.withColumn("weight", weight)
+        sizes.withColumn("number", place)
+        .withColumn("weight", weight)
         .withColumn("cap", F.col("source_size") * MOST_EPOCHS)
         .withColumn("ratio", F.col("cap") / F.col("weight"))
         .withColumn("total", F.sum("source_size").over(everything))
@@ -76,7 +81,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
         .withColumn("stretch", stretch.cast("bigint"))
         .withColumn("high", running)
         .withColumn("low", F.col("high") - F.col("stretch"))
-        .select("source", "source_size", "weight", "target", "total", "low", "high")
+        .select("source", "number", "source_size", "weight", "target", "total", "low", "high")
     )
 
 
@@ -85,7 +90,7 @@ def slot_point(slot: Column) -> Column:
 
 
 def schedule(spark: SparkSession, targets: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``slot`` and its ``source`` for all slots: as many as ``block`` goes into all words.
+    """``slot``, its ``source`` and ``number``: as many slots as ``block`` goes into all words.
 
     Points find their source by an equality on a grid cell and a comparison within it,
     so the work per slot does not grow with the number of sources.
@@ -94,6 +99,7 @@ def schedule(spark: SparkSession, targets: DataFrame, block: int = BLOCK) -> Dat
     width = MODULUS // CELLS
     cells = targets.filter("high > low").select(
         "source",
+        "number",
         "low",
         "high",
         F.explode(F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width)))
@@ -107,7 +113,42 @@ def schedule(spark: SparkSession, targets: DataFrame, block: int = BLOCK) -> Dat
         & (F.col("point") >= F.col("low"))
         & (F.col("point") < F.col("high"))
     )
-    return slots.join(cells, inside).select("slot", "source")
+    return slots.join(cells, inside).select("slot", "source", "number")
+
+
+def range_counts(slots: DataFrame) -> DataFrame:
+    """``number``, ``range``, its slots ``n`` and ``before``, the slots of the ranges in front."""
+    counts = slots.groupBy("number", F.floor(F.col("slot") / RANGE).alias("range")).agg(
+        F.count("*").alias("n")
+    )
+    counts = counts.withColumn("wide", F.floor(F.col("range") / WIDE))
+    up_to = (Window.unboundedPreceding, -1)
+    wide = (
+        counts.groupBy("number", "wide")
+        .agg(F.sum("n").alias("all"))
+        .withColumn(
+            "front",
+            F.sum("all").over(Window.partitionBy("number").orderBy("wide").rowsBetween(*up_to)),
+        )
+        .select("number", "wide", F.coalesce("front", F.lit(0)).alias("front"))
+    )
+    inside = Window.partitionBy("number", "wide").orderBy("range").rowsBetween(*up_to)
+    return (
+        counts.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+        .join(wide, ["number", "wide"])
+        .select("number", "range", "n", (F.col("front") + F.col("inside")).alias("before"))
+    )
+
+
+def ranked_slots(slots: DataFrame, counts: DataFrame) -> DataFrame:
+    """``number``, ``block`` (the rank of the slot in its source, from 0) and ``slot``."""
+    inside = Window.partitionBy("number", "range").orderBy("slot")
+    return (
+        slots.withColumn("range", F.floor(F.col("slot") / RANGE))
+        .withColumn("place", F.row_number().over(inside) - 1)
+        .join(counts.select("number", "range", "before"), ["number", "range"])
+        .select("number", (F.col("before") + F.col("place")).alias("block"), "slot")
+    )
 
 
 def _sized(docs: DataFrame, *carry: str) -> DataFrame:
@@ -121,8 +162,8 @@ def _sized(docs: DataFrame, *carry: str) -> DataFrame:
     )
 
 
-def _plan(sized: DataFrame, block: int) -> DataFrame:
-    """Per source: its figures, row count and ``_words``, all words of its slots."""
+def _plan(sized: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """Per source: its figures, row count and slots; and all slots by rank."""
     spark = sized.sparkSession
     per_source = staged(
         sized.groupBy("source").agg(
@@ -131,25 +172,22 @@ def _plan(sized: DataFrame, block: int) -> DataFrame:
         "source-sizes",
     )
     targets = staged(source_targets(per_source.select("source", "source_size")), "targets")
-    slots = schedule(spark, targets, block).groupBy("source").agg(F.count("*").alias("_slots"))
-
-    def own(df: DataFrame, name: str) -> DataFrame:
-        return df.withColumnRenamed("source", name)
-
-    joined = targets.join(
-        own(per_source.drop("source_size"), "_a"), F.col("source").eqNullSafe(F.col("_a"))
-    ).join(own(slots, "_b"), F.col("source").eqNullSafe(F.col("_b")), "left")
-    words = F.coalesce(F.col("_slots"), F.lit(0)) * block
-    return staged(
-        joined.select(
+    slots = schedule(spark, targets, block).select("number", "slot")
+    counts = staged(range_counts(slots), "slot-counts")
+    own_rows = per_source.select(F.col("source").alias("_a"), "_rows")
+    plan = (
+        targets.join(own_rows, F.col("source").eqNullSafe(F.col("_a")))
+        .join(counts.groupBy("number").agg(F.sum("n").alias("_slots")), "number", "left")
+        .select(
             F.col("source").alias("_source"),
+            "number",
             "source_size",
             "target",
             "_rows",
-            F.least(words, F.col("source_size") * MOST_EPOCHS).alias("_words"),
-        ),
-        "mix-plan",
+            F.coalesce("_slots", F.lit(0)).alias("_slots"),
+        )
     )
+    return staged(plan, "mix-plan"), ranked_slots(slots, counts)
 
 
 def _bucketed(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -161,59 +199,102 @@ def _bucketed(rows: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def _placed(rows: DataFrame, sized: DataFrame, plan: DataFrame) -> DataFrame:
-    """``rows`` with the whole rounds (``_rounds``), the words of the last one (``_last``), ``place``.
+    """``rows`` with the plan of their source and ``place``, the words in front of them in it.
 
-    ``place`` counts the words in front of a document in the order of its source: sums
-    of the buckets before, and within the bucket the documents before.
+    ``place`` adds the sums of the buckets before and, within the bucket, of the documents
+    before. Of documents with words it names one of its source.
     """
-    sums = _bucketed(sized, plan).groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
+    sums = _bucketed(sized, plan).groupBy("number", "_bucket").agg(F.sum("size").alias("_sum"))
     before = (
-        Window.partitionBy("source")
+        Window.partitionBy("number")
         .orderBy("_bucket")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = sums.select(
-        F.col("source").alias("_os"),
-        F.col("_bucket").alias("_ob"),
+        "number",
+        "_bucket",
         F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"),
     )
     inside = (
-        Window.partitionBy("source", "_bucket")
+        Window.partitionBy("number", "_bucket")
         .orderBy("_order", "doc_id", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    rounds = F.when(
-        F.col("source_size") > 0, F.floor(F.col("_words") / F.col("source_size"))
-    ).otherwise(0)
-    rest = F.col("_words") - F.col("_rounds") * F.col("source_size") - F.col("place")
     return (
         _bucketed(rows, plan)
         .withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .join(
-            offsets,
-            F.col("source").eqNullSafe(F.col("_os")) & (F.col("_bucket") == F.col("_ob")),
-        )
+        .join(offsets, ["number", "_bucket"])
         .withColumn("place", F.col("_offset") + F.col("_inside"))
-        .withColumn("_rounds", rounds.cast("bigint"))
-        .withColumn("_last", F.greatest(F.lit(0), F.least(F.col("size"), rest)))
+    )
+
+
+def block_rows(placed: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``number``, ``block``, ``place`` and ``words``: what each block holds of each document.
+
+    Only blocks that have a slot are made, and no round beyond the last allowed one.
+    """
+    last_round = F.least(
+        F.lit(MOST_EPOCHS - 1),
+        F.floor((F.col("_slots") * block - 1) / F.greatest(F.col("source_size"), F.lit(1))),
+    )
+    rounds = (
+        placed.filter("size > 0 and _slots > 0")
+        .select(
+            "number",
+            "place",
+            "size",
+            "source_size",
+            "_slots",
+            F.explode(F.sequence(F.lit(0).cast("bigint"), last_round.cast("bigint"))).alias("_k"),
+        )
+        .withColumn("_from", F.col("_k") * F.col("source_size") + F.col("place"))
+        .withColumn("_to", F.col("_from") + F.col("size"))
+        .filter(F.col("_from") < F.col("_slots") * block)
+    )
+    first = F.floor(F.col("_from") / block)
+    last = F.least(F.floor((F.col("_to") - 1) / block), F.col("_slots") - 1)
+    words_in = F.least((F.col("block") + 1) * block, F.col("_to")) - F.greatest(
+        F.col("block") * block, F.col("_from")
+    )
+    return rounds.select(
+        "number", "place", "_from", "_to", F.explode(F.sequence(first, last)).alias("block")
+    ).select("number", "block", "place", words_in.alias("words"))
+
+
+def _given(placed: DataFrame, slots: DataFrame, block: int) -> DataFrame:
+    """``number``, ``place``, ``taken`` and ``first_slot`` of the documents that have slots."""
+    return (
+        block_rows(placed, block)
+        .join(slots, ["number", "block"])
+        .groupBy("number", "place")
+        .agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
     )
 
 
 def taken(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """What the mix takes of every document, with the figures of its source.
 
-    Returns ``doc_id``, ``size``, ``source``, ``source_size``, ``target``, ``taken`` and
-    ``place``, the words in front of the document in the shuffled order of its source.
+    Returns ``doc_id``, ``size``, ``source``, ``source_size``, ``target``, ``taken``,
+    ``first_slot`` (null where nothing is taken) and ``place``, the words in front of the
+    document in the shuffled order of its source.
     """
     sized = staged(_sized(docs, "doc_id", "source"), "sizes")
-    placed = _placed(sized, sized, _plan(sized, block))
-    return placed.select(
+    plan, slots = _plan(sized, block)
+    placed = staged(_placed(sized, sized, plan).drop("_order", "_unit"), "places")
+    given = _given(placed, slots, block).select(
+        F.col("number").alias("_n"), F.col("place").alias("_p"), "taken", "first_slot"
+    )
+    same = (
+        (F.col("number") == F.col("_n")) & (F.col("place") == F.col("_p")) & (F.col("size") > 0)
+    )
+    return placed.join(given, same, "left").select(
         "doc_id",
         "size",
         "source",
         "source_size",
         "target",
-        (F.col("_rounds") * F.col("size") + F.col("_last")).alias("taken"),
+        F.coalesce("taken", F.lit(0)).alias("taken"),
+        "first_slot",
         "place",
     )
 
@@ -227,19 +308,23 @@ def mixed(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """
     whole, names = set_aside(docs, "doc_id", "source", "text")
     sized = staged(_sized(docs, "doc_id", "source"), "sizes")
+    plan, slots = _plan(sized, block)
+    given = _given(_placed(sized, sized, plan), slots, block).withColumnRenamed("taken", "_taken")
     rows = _sized(whole, "doc_id", "source", *names.values())
-    placed = _placed(rows, sized, _plan(sized, block))
-    copies = placed.withColumn("_copies", F.col("_rounds") + F.signum("_last").cast("bigint"))
-    copied = copies.filter("_copies > 0").select(
+    placed = _placed(rows, sized, plan).filter("size > 0").select(
+        "number", "place", "size", *names.values()
+    )
+    copies = F.ceil(F.col("_taken") / F.col("size"))
+    copied = placed.join(given, ["number", "place"]).select(
         *names.values(),
-        "_last",
+        "_taken",
         "size",
-        "_rounds",
-        F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"),
+        F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias("_copy"),
     )
-    cut = (F.col("_copy") > F.col("_rounds")) & (F.col("_last") < F.col("size"))
+    cut = F.col("_copy") * F.col("size") > F.col("_taken")
+    left = F.col("_taken") - (F.col("_copy") - 1) * F.col("size")
     text = F.col(names["text"])
-    head = F.array_join(F.slice(words(text), F.lit(1), F.col("_last").cast("int")), " ")
+    head = F.array_join(F.slice(words(text), F.lit(1), left.cast("int")), " ")
     new = {"text": F.when(cut, head).otherwise(text)}
     if "n_chars" in names:
         kind = docs.schema["n_chars"].dataType

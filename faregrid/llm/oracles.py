@@ -86,11 +86,13 @@ WITH sized AS (
   SELECT *, (sum(stretch) OVER (ORDER BY source IS NULL, source))::BIGINT AS high FROM stretched
 ), per_total AS (SELECT coalesce(max(total), 0)::BIGINT AS total FROM ranked
 ), points AS (
-  SELECT (i % {modulus} * {GOLDEN}) % {modulus} AS point
+  SELECT i, (i % {modulus} * {GOLDEN}) % {modulus} AS point
   FROM range(((SELECT max(total) FROM per_total) + {BLOCK - 1})::BIGINT // {BLOCK}) AS s(i)
+), ordered AS (
+  SELECT source, i, row_number() OVER (PARTITION BY source ORDER BY i) - 1 AS rank FROM points
+  JOIN bounds ON point >= high - stretch AND point < high
 ), slots AS (
-  SELECT source, count(*) AS n FROM points
-  JOIN bounds ON point >= high - stretch AND point < high GROUP BY source
+  SELECT source, count(*) AS n FROM ordered GROUP BY source
 ), plan AS (
   SELECT b.source, b.source_size, b.target,
          least(coalesce(n, 0) * {BLOCK}, {MOST_EPOCHS} * b.source_size) AS given
@@ -99,12 +101,16 @@ WITH sized AS (
   SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY o, doc_id, size
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
   FROM sized
+), mix AS (
+  SELECT p.*, source_size, target,
+         CASE WHEN source_size = 0 THEN 0
+              ELSE given // source_size * size
+                   + greatest(0, least(size, given % source_size - place)) END::BIGINT AS taken
+  FROM placed p JOIN plan ON p.source IS NOT DISTINCT FROM plan.source
 )
-SELECT doc_id, size, source_size, target,
-       CASE WHEN source_size = 0 THEN 0
-            ELSE given // source_size * size
-                 + greatest(0, least(size, given % source_size - place)) END::BIGINT AS taken
-FROM placed p JOIN plan ON p.source IS NOT DISTINCT FROM plan.source"""
+SELECT doc_id, size, source_size, target, taken, i AS first_slot
+FROM mix m LEFT JOIN ordered o
+  ON taken > 0 AND m.source IS NOT DISTINCT FROM o.source AND place // {BLOCK} = rank"""
 
 
 def phrases_sql() -> str:

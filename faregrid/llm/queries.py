@@ -96,7 +96,7 @@ def op9_boosted_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(documents(spark, sf_dir)).select(
-        "doc_id", "size", "source_size", "target", "taken"
+        "doc_id", "size", "source_size", "target", "taken", "first_slot"
     )
 
 

@@ -6,8 +6,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from faregrid.llm import mixing, quality, shards
+from faregrid.llm.words import word_count
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -139,6 +141,36 @@ def test_mix_meets_its_targets(spark):
     }
 
 
+def test_slots_and_blocks_are_joined_by_rank(spark):
+    docs = mix_fixture(spark)
+    got = mixing.taken(docs).collect()
+    sizes = docs.groupBy("source").agg(F.sum(word_count(F.col("text"))).alias("source_size"))
+    slots = mixing.schedule(spark, mixing.source_targets(sizes)).orderBy("slot").collect()
+    for source in {r["source"] for r in got}:
+        own = sorted((r for r in got if r["source"] == source and r["size"]), key=lambda r: r["place"])
+        line = [r["doc_id"] for r in own for _ in range(r["size"])] * mixing.MOST_EPOCHS
+        words, first = Counter(), {}
+        for rank, slot in enumerate(r["slot"] for r in slots if r["source"] == source):
+            for doc in line[rank * mixing.BLOCK : (rank + 1) * mixing.BLOCK]:
+                words[doc] += 1
+                first.setdefault(doc, slot)
+        assert {r["doc_id"]: (r["taken"], r["first_slot"]) for r in own} == {
+            r["doc_id"]: (words[r["doc_id"]], first.get(r["doc_id"])) for r in own
+        }
+
+
+def test_ranks_go_on_from_range_to_range(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANGE", 7)
+    monkeypatch.setattr(mixing, "WIDE", 3)
+    sizes = spark.createDataFrame([("a", 900), ("b", 500), (None, 400)], "source string, source_size long")
+    slots = mixing.schedule(spark, mixing.source_targets(sizes), 4)
+    ranked = mixing.ranked_slots(slots, mixing.range_counts(slots)).collect()
+    for number in (0, 1, 2):
+        own = sorted((r["block"], r["slot"]) for r in ranked if r["number"] == number)
+        assert [b for b, _ in own] == list(range(len(own))) and len(own) > 50
+        assert [s for _, s in own] == sorted(s for _, s in own)
+
+
 def test_mixed_rows_hold_the_words_taken(spark):
     docs = mix_fixture(spark)
     taken = {r["doc_id"]: r["taken"] for r in mixing.taken(docs).collect()}
