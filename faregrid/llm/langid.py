@@ -17,12 +17,12 @@ result; ties between centroids go to the language first in code-point order.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +37,7 @@ ROUNDS = 12
 RADIUS_QUANTILE = 0.995
 FOLDS = 5
 
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+_NO_LETTERS = regex.compile(r"\P{L}+")
 _FACTORS = tuple(
     np.uint32(f) for f in (2_654_435_761, 2_246_822_519, 3_266_489_917, 668_265_263)
 )
