@@ -63,8 +63,8 @@ CHECKS = {
 
 # kind and pattern of the spans proposed beside the base ones
 GENERATORS = (
-    ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++ ?(?:@|\[at\]|\(at\)|at ) ?"
-              r"[\p{L}\p{N}-]++(?: ?(?:\.|\[dot\]|\(dot\)|dot ) ?[\p{L}\p{N}-]++)++"),
+    ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++ ?(?:@|(?i:\[at\]|\(at\)|at )) ?"
+              r"[\p{L}\p{N}-]++(?: ?(?:\.|(?i:\[dot\]|\(dot\)|dot )) ?[\p{L}\p{N}-]++)++"),
     ("ip", r"(?<![0-9.])[0-9]{1,3}(?: ?(?:\.|\[\.\]|\(\.\)) ?[0-9]{1,3}){3}(?![0-9])"),
     ("ip", r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::{1,2}[0-9A-Fa-f]{1,4}){3,7}(?![0-9A-Fa-f:])"),
     ("card", r"(?<![0-9])[0-9]{13,19}(?![0-9])"),
@@ -78,8 +78,7 @@ GENERATORS = (
 # what a text must hold for a pattern to match, as its pattern implies; no match is lost
 BASE_NEEDS = {"email": "contains({t}, '@')", "ip": "_digit", "card": "_digit", "phone": "_digit"}
 NEEDS = {
-    "email": "contains(_rest, '@') or contains(_rest, '[at]') or contains(_rest, '(at)')"
-    " or contains(_rest, 'at ')",
+    "email": r"_rest rlike r'(?i)@|at[ \])]'",
     "ip": "_digit or contains(_rest, ':')",
     "card": "_digit",
     "phone": "_digit",
@@ -98,6 +97,7 @@ AGAINST = (
     r"\\W{0,6}(?:\\w+\\W+){0,1}$"
 )
 CONTEXT = 32
+PIECE = 4096
 FEATURES = (
     "digits", "letters", "chars", "groups", "longest_group", "luhn", "plus", "at", "dots",
     "dashes", "blanks", "colons", "spelled", "first_digit", "largest_part", "distinct_digits",
@@ -161,8 +161,43 @@ def base_spans(docs: DataFrame, *carry: str) -> DataFrame:
     )
 
 
+def _distinct(spans: str) -> str:
+    """SQL: sorted spans without repeats, by their neighbours."""
+    return f"""transform(array(sort_array({spans})),
+      a -> filter(a, (y, i) -> i = 0 or a[greatest(i - 1, 0)] != y))[0]"""
+
+
+def _blocks(items: str) -> str:
+    """SQL: an array as blocks of about the root of its size, so that arrays grown within
+    a block and then block by block stay far from quadratic."""
+    k = f"greatest(1, int(ceil(sqrt(size({items})))))"
+    count = f"greatest(0, size({items}) - 1) div {k}"
+    return f"transform(sequence(0, int({count})), i -> slice({items}, i * {k} + 1, {k}))"
+
+
+def _scan(items: str, kind: str, taken: str, cell: str, end: str, skipped: str) -> str:
+    """SQL: ``to`` and ``m`` after a pass over sorted spans ``y`` with the last end ``c.to``.
+
+    Where ``taken`` holds, ``cell`` is added and ``end`` is the new end, else ``skipped``.
+    """
+    empty = f"cast(array() as array<struct<{kind}>>)"
+    inner = f"""aggregate(g, named_struct('to', a.to, 'm', {empty}),
+        (c, y) -> if({taken}, named_struct('to', {end}, 'm', concat(c.m, array({cell}))),
+                     named_struct('to', {skipped}, 'm', c.m)))"""
+    return f"""aggregate({_blocks(items)},
+      named_struct('to', 0, 'out', cast(array() as array<array<struct<{kind}>>>)),
+      (a, g) -> transform(array({inner}),
+        r -> named_struct('to', r.to, 'out', concat(a.out, array(r.m))))[0],
+      a -> named_struct('to', a.to, 'm', flatten(a.out)))"""
+
+
+def _around(start: str, chars: str) -> str:
+    """SQL: at most CONTEXT characters from ``start``, out of the piece that holds them."""
+    return f"substr(_pieces[({start}) div {PIECE}], ({start}) % {PIECE} + 1, {chars})"
+
+
 def _features(kind: str) -> str:
-    """SQL: a struct of FEATURES for a span ``y`` and the text ``_rest``."""
+    """SQL: a struct of FEATURES for a span ``y`` and the text in ``_pieces``."""
     digits = "translate(y.s, translate(y.s, '0123456789', ''), '')"
     parts = {
         "digits": "length(z.d)",
@@ -177,7 +212,7 @@ def _features(kind: str) -> str:
         "dashes": "length(y.s) - length(replace(y.s, '-', ''))",
         "blanks": "length(y.s) - length(replace(y.s, ' ', ''))",
         "colons": "length(y.s) - length(replace(y.s, ':', ''))",
-        "spelled": r"if(y.s rlike r'@|[\[(](?:at|dot)[\])]| dot ', 1, 0)",
+        "spelled": r"if(y.s rlike r'(?i)@|[\[(](?:at|dot)[\])]| dot ', 1, 0)",
         "first_digit": "coalesce(try_cast(left(z.d, 1) as int), -1)",
         "largest_part": "coalesce(array_max(transform(z.p, p -> int(left(p, 9)))), 0)",
         "distinct_digits": "size(array_distinct(split(z.d, '')))",
@@ -189,8 +224,8 @@ def _features(kind: str) -> str:
     cells = ", ".join(f"'{name}', double({sql})" for name, sql in parts.items())
     return f"""transform(array(named_struct('d', {digits},
         'p', filter(split(y.s, '[^0-9]+'), p -> p != ''),
-        'before', substr(_rest, greatest(1, y.b + 1 - {CONTEXT}), least(y.b, {CONTEXT})),
-        'after', substr(_rest, y.e + 1, 1))), z -> named_struct({cells}))[0]"""
+        'before', {_around(f"greatest(0, y.b - {CONTEXT})", f"least(y.b, {CONTEXT})")},
+        'after', {_around("y.e", "1")})), z -> named_struct({cells}))[0]"""
 
 
 def candidates(based: DataFrame, *carry: str) -> DataFrame:
@@ -206,15 +241,26 @@ def candidates(based: DataFrame, *carry: str) -> DataFrame:
         )
     rest = rest.withColumn("_digit", F.col("_rest").rlike("[0-9]"))
     proposed = {
-        kind: f"if({NEEDS[kind]}, array_distinct(concat("
-        + ", ".join(_spans("_rest", rx) for k, rx in GENERATORS if k == kind)
-        + ")), array())"
+        kind: f"if({NEEDS[kind]}, "
+        + _distinct(
+            "concat("
+            + ", ".join(_spans("_rest", rx) for k, rx in GENERATORS if k == kind)
+            + ")"
+        )
+        + ", array())"
         for kind in KINDS
     }
     keep = [*carry, "_text", "_rest", *[f"_{k}" for k in KINDS]]
     raw = computed_once(
         rest, *keep, **{f"_raw_{k}": F.expr(sql) for k, sql in proposed.items()}
     )
+    # pieces overlap by the context, so a look at one does not walk through the whole text
+    any_raw = " + ".join(f"size(_raw_{k})" for k in KINDS)
+    pieces = (
+        f"if({any_raw} = 0, array(), transform(sequence(0, length(_rest) div {PIECE}),"
+        f" i -> substr(_rest, int(i) * {PIECE} + 1, {PIECE + CONTEXT})))"
+    )
+    raw = computed_once(raw, *keep, *[f"_raw_{k}" for k in KINDS], _pieces=F.expr(pieces))
     return raw.select(
         *[F.col(f"`{c}`") for c in keep],
         *[
@@ -237,7 +283,8 @@ class Detector:
 TRUE_FORMATS = {
     "email": ("LLLL at LLLLL dot LL", "LLL.LLLL[at]LLLLLL[dot]LLL", "LLLL (at) LLLLL (dot) LLL",
               "LLLéL@LLLL.LL", "LLLé@LLLLL.LL", "LLLLL @ LLLLL.LLL", "LLL.LLL (at) LLLLL.LL",
-              "LLLL at LLLLL[dot]LLL", "LLLL at LLLL.LLLLL dot LLL"),
+              "LLLL at LLLLL[dot]LLL", "LLLL at LLLL.LLLLL dot LLL", "LLLL AT LLLLL DOT LLL",
+              "LLLL[AT]LLLLL[DOT]LL"),
     "ip": ("B[.]B[.]B[.]B", "B . B . B . B", "B(.)B(.)B(.)B",
            "2001:####:####:#:#:#:####:####", "fe80::####:####:####:####"),
     "card": ("C C", "2024 C", "C  ", "C.", "C/", "C 7"),
@@ -390,15 +437,19 @@ def detected(docs: DataFrame, detector: Detector, *carry: str) -> DataFrame:
     picked = computed_once(
         shown, *keep, _picked=F.expr(f"sort_array(concat({', '.join(chosen)}))")
     )
-    free = """aggregate(_picked, named_struct('to', 0, 'kept',
-        cast(array() as array<struct<b: int, k: int, e: int>>)),
-        (a, y) -> if(y.b >= a.to, named_struct('to', -y.w, 'kept',
-            concat(a.kept, array(named_struct('b', y.b, 'k', y.k, 'e', -y.w)))), a), a -> a.kept)"""
+    free = _scan(
+        "_picked",
+        "b: int, k: int, e: int",
+        taken="y.b >= c.to",
+        cell="named_struct('b', y.b, 'k', y.k, 'e', -y.w)",
+        end="-y.w",
+        skipped="c.to",
+    )
     base = ", ".join(
         f"transform(_{kind}, y -> named_struct('b', y.b, 'k', {place}, 'e', y.e))"
         for place, kind in enumerate(KINDS)
     )
-    return computed_once(picked, *keep, _all=F.expr(f"sort_array(concat({base}, {free}))"))
+    return computed_once(picked, *keep, _all=F.expr(f"sort_array(concat({base}, {free}.m))"))
 
 
 def _listed(spans: str) -> str:
@@ -433,11 +484,19 @@ def redacted(docs: DataFrame, detector: Detector | None = None) -> DataFrame:
     whole, names = set_aside(docs, "text")
     found = detected(whole, detector, *names.values())
     marks = _quoted([f"[{k.upper()}]" for k in KINDS])
-    pieces = f"""aggregate(_all, named_struct('to', 0, 'out', cast(array() as array<string>)),
-        (a, y) -> if(y.b >= a.to, named_struct('to', y.e, 'out', concat(a.out, array(
-            substr(_text, a.to + 1, y.b - a.to), {marks}[y.k]))),
-          named_struct('to', greatest(a.to, y.e), 'out', a.out)),
-        a -> concat(array_join(a.out, ''), substr(_text, a.to + 1)))"""
+    merged = _scan(
+        "_all",
+        "f: int, b: int, k: int",
+        taken="y.b >= c.to",
+        cell="named_struct('f', c.to, 'b', y.b, 'k', y.k)",
+        end="y.e",
+        skipped="greatest(c.to, y.e)",
+    )
+    block = f"""transform(array(named_struct('f', g[0].f,
+        's', substr(_text, g[0].f + 1, g[size(g) - 1].b - g[0].f))), h -> array_join(transform(g,
+          y -> concat(substr(h.s, y.f - h.f + 1, y.b - y.f), {marks}[y.k])), ''))[0]"""
+    pieces = f"""transform(array({merged}), r -> concat(
+        array_join(transform({_blocks("r.m")}, g -> {block}), ''), substr(_text, r.to + 1)))[0]"""
     old = F.col(names["text"])
     changed = computed_once(
         found,

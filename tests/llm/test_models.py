@@ -262,3 +262,45 @@ def test_addresses_with_a_plain_at(spark):
     found = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).collect()}
     assert found[0] == "email:9:32" and found[1] == "email:9:37" and found[4] == ""
     assert found[3] == "email:9:22"
+
+
+def test_numbers_and_signs_are_no_letters(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [(1, "\u2460"), (2, "\u00b2\u00bd 12"), (3, "\u2163 \u2167"), (4, "\u00e9")]
+    odd = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in langid.predict(odd, langid.fit(docs, sample=20)).collect()}
+    assert [got[i]["lang_pred"] for i in (1, 2, 3)] == ["und"] * 3
+    assert all(got[i]["score"] == 0 for i in (1, 2, 3)) and got[4]["lang_pred"] != "und"
+
+
+def test_written_out_addresses_in_any_case(spark):
+    rows = [
+        (1, "write to john.smith at example dot org today"),
+        (2, "write to john.smith AT example DOT org today"),
+        (3, "Meet ME AT THE Station. Then we DOT the line"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs).collect()}
+    assert got == {1: "email:9:38", 2: "email:9:38", 3: ""}
+
+
+def test_a_text_with_very_many_spans(spark):
+    parts = [f"é{i} mail a{i}@b.org or +1 202 555 {1000 + i} " for i in range(3000)]
+    docs = spark.createDataFrame([(1, "".join(parts))], "doc_id long, text string")
+    want, at = [], 0
+    for part in parts:
+        mail, phone = part.index(" a") + 1, part.index("+")
+        want.append(f"email:{at + mail}:{at + part.index(' or')}")
+        want.append(f"phone:{at + phone}:{at + len(part) - 1}")
+        at += len(part)
+    assert pii.personal_data(docs).collect()[0]["spans"] == ",".join(want)
+    text = pii.redacted(docs).collect()[0]["text"]
+    assert text == "".join(f"é{i} mail [EMAIL] or [PHONE] " for i in range(3000))
+
+
+def test_first_of_overlapping_spans_stays(spark):
+    rows = [([(0, 5), (3, 9), (5, 6), (6, 12), (11, 13), (12, 12)],), ([],)]
+    df = spark.createDataFrame(rows, "x array<struct<b: int, e: int>>")
+    sql = pii._scan("x", "b: int, e: int", "y.b >= c.to", "y", "y.e", "c.to")
+    got = [[tuple(s) for s in r[0]] for r in df.selectExpr(f"({sql}).m").collect()]
+    assert got == [[(0, 5), (5, 6), (6, 12), (12, 12)], []]
