@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from faregrid.functions.measures import Measure, exact_mean, exact_sum
 from faregrid.operators import quality
 from faregrid.operators.tally import present, tally
-from faregrid.plans import gold, increments, onepass, summary
-from faregrid.plans.jobs import Lake
+from faregrid.plans import dayparts, gold, increments, onepass, summary
+from faregrid.plans.jobs import FACT_PARTITIONS, Lake
 from faregrid.session import scratch_path
 from faregrid.sources import readers
 from faregrid.streaming import silver as stream
@@ -278,3 +278,49 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
     )
     power = F.floor(F.log10("sum")).cast("double")
     return sums.select("flag", "kind", "seen", F.round(F.col("sum") / F.pow(F.lit(10.0), power), 12).alias("digits"), power.alias("power"))
+
+
+# days ------------------------------------------------------------------------------------
+
+
+def _stored_days(spark: SparkSession, sf: str) -> Lake:
+    """The fact by drop, its calendar and its day parts. Trips of days that end in 1
+    lie in the drop of the month before."""
+    lake = Lake(scratch_path(spark, "lake"))
+    fact = inputs.metered_fact(spark, sf)
+    late = F.col("date_key") % 10 == 1
+    month = F.when(late & (F.col("month") > 1), F.col("month") - 1).otherwise(F.col("month"))
+    lake.write(fact.withColumn("month", month), "gold/fact_trips_yellow", FACT_PARTITIONS)
+    days = adapters.table(spark, sf, "lineitem").agg(
+        F.min("l_shipdate").cast("date").alias("first_day"),
+        F.max("l_shipdate").cast("date").alias("last_day"),
+    )
+    lake.write(gold.calendar(readers.calendar_days(days)), "gold/dim_time")
+    dayparts.day_parts_job(spark, lake, "fact_trips_yellow")
+    return lake
+
+
+@query(
+    "j4_weekends_of_a_quarter",
+    o.sql(
+        f"SELECT year_month, day_name, {o.n()} AS trips, {o.mean('fare_amount')} AS avg_fare "
+        "FROM fact f JOIN calendar c USING (date_key) "
+        "WHERE c.is_weekend AND c.quarter = 2 AND c.year = 1996 GROUP BY year_month, day_name",
+        "fact",
+        "calendar",
+    ),
+)
+def _(spark: SparkSession, sf: str) -> DataFrame:
+    """Trips on chosen days of the calendar, from the partitions that hold those days."""
+    lake = _stored_days(spark, sf)
+    fare = Measure("fare_amount")
+    keys = ["year_month", "day_name"]
+    found = dayparts.trips_of_days(
+        lake.read(spark, "gold/fact_trips_yellow"),
+        lake.read(spark, "gold/fact_trips_yellow_days"),
+        lake.read(spark, "gold/dim_time"),
+        F.expr("is_weekend AND quarter = 2 AND year = 1996"),
+        keys,
+        [fare],
+    )
+    return present(found, keys, {"trips": F.col("rows__n"), "avg_fare": F.round(exact_mean(fare), 2)})
