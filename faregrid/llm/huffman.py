@@ -1,25 +1,32 @@
 """Token ids as canonical, length-limited Huffman blocks.
 
-File format: a Parquet table of blocks. A block holds whole documents in ascending
-``doc_id`` order and is decoded by itself:
+File format: three Parquet tables below one folder, which are all that a reader needs.
+
+``blocks``: whole documents in ascending ``doc_id`` order; each is decoded by itself:
 
     part, block      place of the block in the global order (parts by bounds of ``doc_id``)
     first            ids in earlier blocks of the part
     doc_ids, counts  the documents and how many ids each has
     payload          the code words, most significant bit first; documents begin at bytes
-    checkpoints      bit offset of every ``STRIDE``-th id of each document in the payload
+    stride           how many ids lie between checkpoints
+    checkpoints      bit offset of every ``stride``-th id of each document in the payload
+
+``book``: the code book, one length (``bits``) per ``id`` in use; canonical order makes the
+code words follow from the lengths. ``parts``: the ids in front (``before``) of each ``part``.
 
-The code book is one length per id; canonical order makes the code words follow from
-the lengths. All stretches between checkpoints of a block are decoded side by side
-with a table of all ``LIMIT``-bit prefixes.
+All stretches between checkpoints of a block are decoded side by side with a table of all
+``LIMIT``-bit prefixes.
 
-Defined results: a null or empty text has only the end id; rows with equal ``doc_id``
-keep their own ids and stand next to each other, in the order of their code words; a
-null ``doc_id`` sorts first; an empty table gives an empty file set.
+Defined results: a null or empty text has only the end id; strings of added tokens in a text
+get the id of the token, as the library gives it; rows with equal ``doc_id`` keep their own
+ids and stand next to each other, in the order of a checksum of these and of their code
+words; a null ``doc_id`` sorts first; ``doc_id`` may be of any type that can be ordered; an
+empty table gives an empty file set.
 """
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import itertools
 import os
@@ -55,9 +62,7 @@ _BEFORE_BLANK = re.compile(r" (?:\s|\Z)")  # needed by the former, and found fas
 def _tokenizer(path: str) -> Tokenizer:
     # tasks are the parallelism; threads of the library would compete with them
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 def id_type(path: str) -> np.dtype:
@@ -72,6 +77,10 @@ class _Encoder:
     byte-level pre-splitting never joins such places, so ids of chunks put together are
     the ids of the text. Texts with a space between blanks are cut after non-blanks only.
 
+    The library cuts a text at the strings of added tokens before anything else, so they are
+    chunks of their own, and what lies between two of them is cut like a text. A text is one
+    chunk where an added token takes blanks or neighbours into account.
+
     New chunks go to the tokenizer many at a time, with a tab between them: a tab next
     to a non-blank, or in front of a space and a non-blank, is always a match of its own.
     Two generations of ``KNOWN_CHUNKS`` chunks are remembered: what was not used during
@@ -84,8 +93,29 @@ class _Encoder:
         (self.tab,) = self.tokenizer.encode("\t", add_special_tokens=False).ids
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        self.added = sorted((t.content for t in added), key=len, reverse=True)
+        longest_first = "|".join(map(re.escape, self.added))
+        self.at_added = re.compile(f"({longest_first})") if added else None
+        self.cut_at_added = not any(
+            t.lstrip or t.rstrip or t.single_word or t.normalized or re.search(r"\s", t.content)
+            for t in added
+        )
 
     def chunks(self, text: str) -> list[str]:
+        if not any(content in text for content in self.added):
+            return self._chunks(text)
+        if not self.cut_at_added:
+            return [text]
+        pieces = self.at_added.split(text)
+        return [
+            chunk
+            for i, piece in enumerate(pieces)
+            if piece
+            for chunk in ([piece] if i % 2 else self._chunks(piece))
+        ]
+
+    def _chunks(self, text: str) -> list[str]:
         if "\0" in text or (_BEFORE_BLANK.search(text) and _BLANK_BLANK.search(text)):
             return [c for c in _SAFE.split(text) if c]
         found = text.replace(" ", "\0 ").split("\0")
@@ -105,6 +135,7 @@ class _Encoder:
                 continue
             rest = chunk[1:] if chunk[0] == " " else chunk
             plain = rest and not rest[0].isspace() and not rest[-1].isspace()
+            plain = plain and (self.cut_at_added or not any(t in chunk for t in self.added))
             (joined if plain and "\t" not in chunk else alone).append(chunk)
         self._learn(alone, 1)
         self._learn(joined, TOGETHER)
@@ -126,7 +157,7 @@ class _Encoder:
 
 
 def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """``doc_id``, ``n`` and packed ``ids`` (see ``id_type``) of every text, end id last.
+    """``doc_id``, ``n``, ``crc`` and packed ``ids`` (see ``id_type``) of every text, end id last.
 
     Every task adds a row of its own at the end, with ``counts`` of its ids (64-bit, one
     per id from 0) in place of ids, so that they need not be read again to be counted.
@@ -137,6 +168,7 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Da
         [
             ("doc_id", to_arrow_type(kind)),
             ("n", pa.int64()),
+            ("crc", pa.int64()),
             ("ids", pa.binary()),
             ("counts", pa.binary()),
         ]
@@ -155,16 +187,16 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Da
                 columns = [
                     part.column("doc_id"),
                     pa.array([len(i) // len(end) for i in ids], pa.int64()),
+                    pa.array([zlib.crc32(i) for i in ids], pa.int64()),
                     pa.array(ids, pa.binary()),
                     pa.nulls(len(ids), pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
         if total.any():
-            own = {"doc_id": None, "n": None, "ids": None, "counts": total.tobytes()}
-            yield pa.RecordBatch.from_pylist([own], schema)
+            yield pa.RecordBatch.from_pylist([{"counts": total.tobytes()}], schema)
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind.simpleString()}, n bigint, ids binary, counts binary"
+        run, f"doc_id {kind.simpleString()}, n bigint, crc bigint, ids binary, counts binary"
     )
 
 
@@ -312,18 +344,31 @@ class CodeBook:
         return out
 
 
-def part_bounds(tokens: DataFrame, parts: int) -> list[float]:
-    """First ``doc_id`` of every part but the first, for parts of about equal rows."""
+def _order(doc_id, crc: int) -> tuple:
+    return (False, crc) if doc_id is None else (True, doc_id, crc)
+
+
+def part_bounds(tokens: DataFrame, parts: int) -> list[tuple]:
+    """Where every part but the first begins, for parts of about equal rows.
+
+    Spark's ranges of ``doc_id`` and checksum are the parts, so an id that many rows share is
+    spread over several. One row per part is returned.
+    """
     if parts < 2:
         return []
-    shares = [i / parts for i in range(1, parts)]
-    return sorted(set(tokens.approxQuantile("doc_id", shares, 0.2 / parts)))
+    ranges = tokens.select("doc_id", "crc").repartitionByRange(parts, "doc_id", "crc")
+    least = (
+        ranges.groupBy(F.spark_partition_id().alias("range"))
+        .agg(F.min(F.struct("doc_id", "crc")).alias("low"))
+        .select("low.*")
+    )
+    return sorted(_order(*r) for r in least.toLocalIterator())[1:]
 
 
 def coded_rows(
-    tokens: DataFrame, packed: np.dtype, lengths: dict[int, int], bounds: list[float]
+    tokens: DataFrame, packed: np.dtype, lengths: dict[int, int], bounds: list[tuple]
 ) -> DataFrame:
-    """``part``, ``doc_id``, ``n``, ``payload`` and ``offsets`` of every document."""
+    """``part``, ``doc_id``, ``crc``, ``n``, ``payload`` and ``offsets`` of every document."""
     kind = tokens.schema["doc_id"].dataType.simpleString()
     shared = tokens.sparkSession.sparkContext.broadcast(lengths)  # an entry per id in use
 
@@ -336,37 +381,38 @@ def coded_rows(
                 ids = np.frombuffer(b"".join(raw), dtype=packed).astype(np.int64)
                 counts = np.asarray([len(r) // packed.itemsize for r in raw], dtype=np.int64)
                 payloads, offsets = book.pack(ids, counts)
-                doc_ids = part.column("doc_id")
-                known = doc_ids.drop_null().to_numpy()
-                place = np.zeros(len(doc_ids), dtype=np.int32)
-                place[doc_ids.is_valid().to_numpy(zero_copy_only=False)] = np.searchsorted(
-                    bounds, known, side="right"
+                own = zip(
+                    part.column("doc_id").to_pylist(), part.column("crc").to_pylist(), strict=True
                 )
+                place = [bisect.bisect_right(bounds, _order(*o)) for o in own]
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "part": pa.array(place),
-                        "doc_id": doc_ids,
+                        "part": pa.array(place, pa.int32()),
+                        "doc_id": part.column("doc_id"),
+                        "crc": part.column("crc"),
                         "n": pa.array(counts),
                         "payload": pa.array(payloads, pa.binary()),
                         "offsets": pa.array(offsets, pa.list_(pa.int64())),
                     }
                 )
 
-    return tokens.select("doc_id", "ids").mapInArrow(
-        run, f"part int, doc_id {kind}, n bigint, payload binary, offsets array<bigint>"
+    return tokens.select("doc_id", "crc", "ids").mapInArrow(
+        run, f"part int, doc_id {kind}, crc bigint, n bigint, payload binary, offsets array<bigint>"
     )
 
 
-def write_blocks(coded: DataFrame, parts: int, path: str) -> None:
+def write_blocks(coded: DataFrame, parts: int, lengths: dict[int, int], path: str) -> None:
     """Write documents in global ``doc_id`` order as blocks of about ``BLOCK_IDS`` ids.
 
     The code words are made before the rows are put in order, so that the shuffle moves
-    them and not the ids; a block only joins the payloads of its documents.
+    them and not the ids; a block only joins the payloads of its documents. Every part goes
+    to the task of its own number.
     """
+    spark = coded.sparkSession
     kind = coded.schema["doc_id"].dataType
     schema = (
         f"part int, block bigint, first bigint, doc_ids array<{kind.simpleString()}>,"
-        " counts array<bigint>, payload binary, checkpoints array<bigint>"
+        " counts array<bigint>, payload binary, stride int, checkpoints array<bigint>"
     )
     lists = pa.list_(pa.int64())
     arrow = pa.schema(
@@ -377,6 +423,7 @@ def write_blocks(coded: DataFrame, parts: int, path: str) -> None:
             ("doc_ids", pa.list_(to_arrow_type(kind))),
             ("counts", lists),
             ("payload", pa.binary()),
+            ("stride", pa.int32()),
             ("checkpoints", lists),
         ]
     )
@@ -393,6 +440,7 @@ def write_blocks(coded: DataFrame, parts: int, path: str) -> None:
             "doc_ids": [r[0] for r in rows],
             "counts": [r[1] for r in rows],
             "payload": b"".join(r[2] for r in rows),
+            "stride": STRIDE,
             "checkpoints": checkpoints.tolist(),
         }
         return pa.RecordBatch.from_pylist([one], arrow)
@@ -412,16 +460,30 @@ def write_blocks(coded: DataFrame, parts: int, path: str) -> None:
         if rows:
             yield block(now, number, first, rows)
 
-    ordered = coded.repartition(parts, "part").sortWithinPartitions("part", "doc_id", "payload")
-    ordered.mapInArrow(run, schema).write.option("compression", "uncompressed").parquet(path)
+    dealt = coded.repartitionById(parts, "part")
+    ordered = dealt.sortWithinPartitions("part", "doc_id", "crc", "payload")
+    blocks = f"{path}/blocks"
+    ordered.mapInArrow(run, schema).write.option("compression", "uncompressed").parquet(blocks)
+    # one entry per id of the vocabulary in use
+    book = spark.createDataFrame(sorted(lengths.items()), "id bigint, bits int")
+    book.coalesce(1).write.parquet(f"{path}/book")
+    # one row per part: ids before a part are the ids of the parts in front of it
+    sizes = (
+        spark.read.parquet(blocks)
+        .groupBy("part")
+        .agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("size"))
+    )
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before")).write.parquet(
+        f"{path}/parts"
+    )
 
 
-def read_blocks(
-    spark: SparkSession, lengths: dict[int, int], path: str, with_ids: bool = False
-) -> DataFrame:
+def read_blocks(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """Per document, from the files: ``start``, ``n_tokens``, ``ids_crc32``; packed ``ids`` on request."""
-    blocks = spark.read.parquet(path)
+    blocks = spark.read.parquet(f"{path}/blocks")
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
+    lengths = {r["id"]: r["bits"] for r in spark.read.parquet(f"{path}/book").toLocalIterator()}
     shared = spark.sparkContext.broadcast(lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -431,7 +493,10 @@ def read_blocks(
                 cell = {name: batch.column(name)[row] for name in batch.schema.names}
                 counts = np.asarray(cell["counts"].as_py(), dtype=np.int64)
                 ids = book.unpack(
-                    cell["payload"].as_py(), cell["checkpoints"].values.to_numpy(), counts
+                    cell["payload"].as_py(),
+                    cell["checkpoints"].values.to_numpy(),
+                    counts,
+                    cell["stride"].as_py(),
                 )
                 ends = np.cumsum(counts)
                 whole = memoryview(ids.astype("<u4", copy=False).tobytes())
@@ -453,19 +518,11 @@ def read_blocks(
     schema = f"part int, place bigint, doc_id {kind}, n_tokens bigint, ids_crc32 bigint"
     schema += ", ids binary" if with_ids else ""
     decoded = blocks.mapInArrow(run, schema)
-    # one row per part: ids before a part are the ids of the parts in front of it
-    sizes = blocks.groupBy("part").agg(
-        F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("size")
-    )
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        F.col("part").alias("_part"),
-        F.coalesce(F.sum("size").over(before), F.lit(0)).alias("_before"),
-    )
-    joined = decoded.join(F.broadcast(starts), F.col("part") == F.col("_part"))
+    starts = spark.read.parquet(f"{path}/parts").withColumnRenamed("part", "_part")
+    joined = decoded.join(starts, F.col("part") == F.col("_part"))
     return joined.select(
         "doc_id",
-        (F.col("_before") + F.col("place")).alias("start"),
+        (F.col("before") + F.col("place")).alias("start"),
         "n_tokens",
         "ids_crc32",
         *(["ids"] if with_ids else []),
@@ -479,9 +536,9 @@ def stored_tokens(
 
     Ids are written once before the code is made, so texts are encoded once; the files
     need one ordering shuffle of the code words, into parts of about ``PART_IDS`` ids
-    by bounds of ``doc_id`` (a number). What goes to the driver is one row per id of the
-    vocabulary and one bound per part; what is broadcast is the code book and one row per
-    part.
+    by bounds of ``doc_id``. What goes to the driver is one row per id of the vocabulary and
+    one bound per part; what is broadcast is the code book and these bounds. The reader knows
+    the files alone.
     """
     spark = ship(docs.sparkSession)
     staged = scratch_path(spark, "tokens")
@@ -493,5 +550,6 @@ def stored_tokens(
     parts = max(1, -(-sum(counts.values()) // PART_IDS))
     files = scratch_path(spark, "token-blocks")
     bounds = part_bounds(tokens, parts)
-    write_blocks(coded_rows(tokens, id_type(tokenizer_path), lengths, bounds), parts, files)
-    return read_blocks(spark, lengths, files, with_ids)
+    coded = coded_rows(tokens, id_type(tokenizer_path), lengths, bounds)
+    write_blocks(coded, parts, lengths, files)
+    return read_blocks(spark, files, with_ids)

@@ -11,9 +11,10 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from faregrid.llm import bpe, huffman
+from faregrid.session import scratch_paths
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -72,6 +73,36 @@ def test_remembered_chunks_keep_the_ids(text):
         assert np.frombuffer(raw, encoder.kind).tolist() == want
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "end <|endoftext|> of",
+        "<|endoftext|>",
+        "a  <|endoftext|>  b\t<|endoftext|><|endoftext|>\n c",
+        "<|endoftext|",
+        "a\0b <|endoftext|> \0  c",
+        "  \n <|endoftext|>x y  z ",
+    ],
+)
+def test_added_tokens_as_the_library_reads_them(text):
+    want = Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids
+    encoder = huffman._Encoder(VOCABULARY)
+    for other in ("of the", text, "x <|endoftext|>"):
+        (raw, _) = encoder.encode([text, other])
+        assert np.frombuffer(raw, encoder.kind).tolist() == want
+
+
+def test_added_tokens_that_take_blanks(tmp_path):
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    tokenizer.add_special_tokens([AddedToken("<cut>", lstrip=True, rstrip=True)])
+    path = str(tmp_path / "added.json")
+    tokenizer.save(path)
+    encoder = huffman._Encoder(path)
+    texts = ["some  <cut>  words here", "words <|endoftext|> here", "<cut>", "no more words"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(r, encoder.kind).tolist() for r in encoder.encode(texts)] == want
+
+
 def kraft(lengths):
     return sum(2.0 ** -n for n in lengths.values())
 
@@ -121,7 +152,6 @@ def test_pack_and_unpack(size):
 
 def test_stored_tokens(spark, edge_docs, no_docs):
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
     start = 0
     rows = [
         (
@@ -154,3 +184,25 @@ def test_many_parts_and_blocks(spark, monkeypatch, edge_docs):
     monkeypatch.setattr(huffman, "PART_IDS", 3000)
     parts = huffman.stored_tokens(docs.repartition(3), VOCABULARY)
     assert read(parts) == whole and [r[0] for r in whole] == list(range(1, 501))
+
+
+def test_ids_of_any_type_and_hot_ids(spark, monkeypatch):
+    """Text ids, a null id of a third of the rows and repeated rows, over many parts."""
+    docs = spark.range(600).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL ELSE concat('d', id % 150) END AS doc_id",
+        "repeat(concat('word ', id % 200, ' '), CAST(id % 40 AS int)) AS text",
+    )
+    monkeypatch.setattr(huffman, "PART_IDS", 3000)
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    want = []
+    for r in docs.collect():
+        ids = [*tokenizer.encode(r["text"], add_special_tokens=False).ids, 2]
+        want.append((r["doc_id"] or "", len(ids), zlib.crc32(np.asarray(ids, "<u4").tobytes())))
+    huffman.stored_tokens(docs, VOCABULARY)
+    (files,) = [p for p in scratch_paths(spark) if "token-blocks" in p][-1:]
+    got = huffman.read_blocks(spark, files).orderBy("start").collect()  # the files are enough
+    assert sorted((r["doc_id"] or "", r["n_tokens"], r["ids_crc32"]) for r in got) == sorted(want)
+    assert [r["doc_id"] or "" for r in got] == sorted(w[0] for w in want)
+    assert [r["start"] for r in got] == np.cumsum([0, *[r["n_tokens"] for r in got]])[:-1].tolist()
+    nulls = spark.read.parquet(f"{files}/blocks").selectExpr("part", "explode(doc_ids) AS id")
+    assert nulls.filter("id IS NULL").select("part").distinct().count() > 1
