@@ -160,7 +160,8 @@ def nearest(
 
     ``is_query`` is a condition on ``id``. Queries go to every shard as rows of its
     input, behind the vectors of the shard, and are answered batch by batch: a task
-    holds one shard, never all queries, and nothing passes through the driver.
+    holds one shard, that of its own number, never all queries, and nothing passes through
+    the driver.
     """
     ship(rows.sparkSession)
     valid = usable(rows, id_column, vector_column)
@@ -181,7 +182,7 @@ def nearest(
     )
     dealt = (
         stored.unionByName(asked)
-        .repartition(shards, "shard")
+        .repartitionById(shards, "shard")
         .sortWithinPartitions("shard", F.col("query_id").asc_nulls_first(), F.col("ids")[0])
     )
     found = dealt.mapInArrow(

@@ -59,6 +59,16 @@ def test_whole_read_equals_brute_force_over_shards(spark):
     assert got == plain(flat)
 
 
+def test_every_shard_has_a_task_of_its_own(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(512, 4)))]
+    df = forest.nearest(table(spark, rows), QUERY, shard_rows=64)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(shard" not in plan and "REPARTITION_BY_NUM" in plan
+    got = found(df)
+    assert set(got) == set(range(0, 512, 10)) and all(len(near) == 10 for near in got.values())
+
+
 def test_recall(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     pairs = [(r["vec_id"], r["embedding"]) for r in rows.collect()]
