@@ -27,7 +27,7 @@ RIDE_HAIL_SURVIVOR = ["tips", "trip_miles", "dropoff_datetime"]
 
 
 def first_per_key(
-    df: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = (), complete: bool = False
 ) -> DataFrame:
     """Keep one row per key, NULL keys being equal, always the same one.
 
@@ -37,11 +37,15 @@ def first_per_key(
     filter lets Spark keep only the best row per key in every map task
     (``WindowGroupLimit``) before anything is shuffled, so a key repeated a billion
     times reaches the final task once per map task.
+
+    ``complete`` says that ``tie_break`` names one row, as partition and offset name a
+    message: no hash is taken then, and columns nobody uses later are not read.
     """
     others = [c for c in df.columns if c not in keys and c not in tie_break]
-    marked = df.withColumn("__row", F.xxhash64(*others) if others else F.lit(0))
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*tie_break, "__row"))
-    ranked = marked.withColumn("__place", place).filter(F.col("__place") == 1)
+    hashed = [F.xxhash64(*others).alias("__row")] if others and not complete else []
+    order = [*tie_break, *(["__row"] if hashed else [])] or [F.lit(0)]
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    ranked = df.select("*", *hashed).withColumn("__place", place).filter(F.col("__place") == 1)
     return ranked.drop("__place", "__row")
 
 

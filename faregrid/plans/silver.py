@@ -78,6 +78,7 @@ def stream_silver(envelope: DataFrame, hourly: DataFrame | None = None) -> Silve
         quality.passed(trips, rules),
         dedup.STREAM_KEYS,
         tie_break=["kafka_partition", "kafka_offset"],
+        complete=True,
     )
     return Silver(
         kept=with_weather_file(kept, hourly),

@@ -46,6 +46,20 @@ def test_only_needed_columns_are_moved(spark, tmp_path, plan_text):
     assert "w3" not in moved[: moved.index("Arguments")]
 
 
+def test_complete_order_reads_no_other_column(spark, tmp_path, plan_text):
+    wide = hot(spark).withColumns({f"w{i}": F.concat("s", F.lit(i)) for i in range(5)})
+    wide.write.parquet(str(tmp_path / "ordered"))
+    stored = spark.read.parquet(str(tmp_path / "ordered"))
+    kept = dedup.first_per_key(stored, ["k", "k2"], ["v"], complete=True)
+    plan = plan_text(kept.groupBy("k").agg(F.sum("v")))
+    assert "w3" not in plan[plan.rindex("ReadSchema"):].splitlines()[0] and "xxhash64(" not in plan
+    assert sorted(r.v for r in kept.collect()) == sorted(
+        r.v for r in dedup.first_per_key(stored, ["k", "k2"], ["v"]).collect()
+    )
+    bare = spark.createDataFrame([(1,), (1,), (2,)], "k int")
+    assert dedup.first_per_key(bare, ["k"]).count() == 2
+
+
 def test_missing_keys_are_equal(spark):
     rows = spark.createDataFrame([(None, 2), (None, 1), (1, 5)], "k int, v int")
     assert sorted(r.v for r in dedup.first_per_key(rows, ["k"], ["v"]).collect()) == [1, 5]
