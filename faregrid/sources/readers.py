@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from faregrid.operators.envelope import MESSAGE_SCHEMA
 
@@ -99,8 +101,14 @@ def zone_lookup(spark: SparkSession, path: str) -> DataFrame:
 
 
 def rows_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Small driver-side rows as a DataFrame with a declared schema."""
-    return spark.createDataFrame(rows, schema)
+    """Small driver-side rows as a DataFrame with a declared schema.
+
+    They go over as an Arrow table, so the planner knows their size; rows of an RDD count as
+    unboundedly large, and a join would broadcast or shuffle the other side instead.
+    """
+    declared = T.StructType.fromDDL(schema)
+    cells = [dict(zip(declared.names, row, strict=True)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(cells, to_arrow_schema(declared)), declared)
 
 
 def _literal(value) -> str:

@@ -212,6 +212,17 @@ def test_values_table(spark):
     assert [(r.a, r.b, None if r.c is None else float(r.c), r.d) for r in table.collect()] == rows
 
 
+def test_driver_rows_have_a_size_and_are_the_side_that_is_broadcast(spark, plan_text):
+    rows = [(1, "card", 0.02), (2, "cash", None), (4, None, 1.5)]
+    fees = readers.rows_table(spark, rows, "code long, label string, fee double")
+    assert fees.dtypes == [("code", "bigint"), ("label", "string"), ("fee", "double")]
+    assert sorted(map(tuple, fees.collect())) == rows
+    assert readers.rows_table(spark, [], "code long").count() == 0
+    large = spark.range(10_000_000).withColumnRenamed("id", "code")
+    plan = plan_text(large.join(fees, "code")).split("\n\n")[0]
+    assert "LocalTableScan" in plan and "BuildRight" in plan and "SortMergeJoin" not in plan
+
+
 def test_calendar(spark):
     assert readers.calendar_range(spark, "2019-01-01", "2025-12-31").count() == 2557
 

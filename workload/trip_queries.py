@@ -105,8 +105,8 @@ PAYMENT_FEES = [(1, "card", 0.02), (2, "cash", None), (4, "dispute", 1.5)]
 )
 def _(spark: SparkSession, sf: str) -> DataFrame:
     fees = readers.rows_table(spark, PAYMENT_FEES, "code long, label string, fee double")
-    trips = adapters.metered_bronze(spark, sf).select(F.col("payment_type").alias("code"))
-    return trips.join(fees, "code").groupBy("label", "fee").agg(F.count(F.lit(1)).alias("trips"))
+    trips = adapters.metered_bronze(spark, sf).groupBy(F.col("payment_type").alias("code")).count()
+    return trips.join(fees, "code").groupBy("label", "fee").agg(F.sum("count").alias("trips"))
 
 
 @query(
