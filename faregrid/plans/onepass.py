@@ -100,12 +100,17 @@ def split_job(
     path = lake.path(f"silver_split/{fleet.name}")
     flagged = quality.with_flags(bronze, fleet.rules, null_policy)
     seen = Counted(flagged, "rules", report_counts(fleet.rules))
-    rows = fleet.features(outcomes(seen.rows, fleet))
     partitions = (OUTCOME, *sinks.PARTITIONS)
+    flags = [rule.flag for rule in fleet.rules] + ["is_valid"]
+    # flags and features are taken again or made after the last shuffle, so none moves them
+    raw = outcomes(seen.rows, fleet).drop(*flags)
+    moved = sinks.clustered(raw, partitions)
+    rows = quality.with_flags(moved, fleet.rules, null_policy)
+    rows = fleet.features(rows.select(*flagged.columns, OUTCOME))
     if bronze.isEmpty():  # partitions of nothing would leave a folder without a schema
         sinks.replace_all(rows, path, fmt=lake.fmt)
         return dict.fromkeys(report_counts(fleet.rules), 0) | {"kept_stored": 0, "failed_stored": 0}
-    sinks.replace_all(rows, path, partitions, lake.fmt)
+    sinks.replace_all(rows, path, partitions, lake.fmt, rebalance=False)
     stored = stored_outcomes(spark, path, lake.fmt)
     known = {"total_rows": bronze.count(), "failed_rows": stored["failed_stored"]}
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 PARTITIONS = ("puYear", "puMonth")
 
 
-def _clustered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+def clustered(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Ask AQE to group rows by partition: hot partitions are split, small ones merged."""
     return df.hint("rebalance", *[F.col(p) for p in partitions])
 
@@ -31,7 +31,7 @@ def replace_partitions(
     rebalance: bool = False,
 ) -> None:
     """Replace just the partitions present in ``df``: a repeated run adds nothing twice."""
-    rows = _clustered(df, partitions) if rebalance else df
+    rows = clustered(df, partitions) if rebalance else df
     writer = rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partitions).save(path)
 
@@ -44,7 +44,7 @@ def replace_all(
     rebalance: bool = True,
 ) -> None:
     """Replace the whole table, its schema included."""
-    rows = _clustered(df, partitions) if partitions and rebalance else df
+    rows = clustered(df, partitions) if partitions and rebalance else df
     writer = rows.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     writer = writer.option("partitionOverwriteMode", "static")
     if partitions:

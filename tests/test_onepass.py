@@ -59,6 +59,21 @@ def test_bronze_is_scanned_once(spark, lake, plan_text):
     assert "WindowGroupLimit" in text
 
 
+def test_flags_and_features_are_not_shuffled(spark, lake, plan_text, monkeypatch):
+    plans, write = [], onepass.sinks.replace_all
+
+    def seen(df, *args, **options):
+        plans.append(plan_text(df))
+        write(df, *args, **options)
+
+    monkeypatch.setattr(onepass.sinks, "replace_all", seen)
+    onepass.split_job(spark, lake, onepass.METERED)
+    moved = [part for part in plans[0].split("\n\n") if ") Exchange" in part]
+    assert len(moved) == 2
+    for part in moved:
+        assert "valid_" not in part and "pickup_date_str" not in part and "pickup_dow" not in part
+
+
 def test_empty_bronze(spark, lake, tmp_path):
     empty = Lake(str(tmp_path))
     lake.read(spark, "bronze/metered").filter("false").write.parquet(empty.path("bronze/metered"))
