@@ -1,8 +1,10 @@
 """Near copies of the corpus pipeline: every pair of texts with similarity 0.8 or more.
 
 Similarity is the Jaccard index of the sets of five-word shingles, kept as 64-bit hashes.
-Equal sets are one node. The join is exact, by prefixes: with the shingles of every set in
-one common order, two sets of similarity s share a shingle among the first
+Equal sets are one node. Sets whose SimHash fingerprints lie within the distance of the anchors
+of ``simhash`` are proposed first, through these anchors. At similarity 0.8 most fingerprints
+lie further apart, so a prefix join finds the rest, exactly: with the shingles of every set in one
+common order, two sets of similarity s share a shingle among the first
 ``n - ceil(s * n) + 1`` of each. The order puts shingles with many holders last, as
 counted over hash buckets in a quarter of the nodes; how well they are counted changes
 the number of proposals, never a result.
@@ -13,7 +15,7 @@ dropped without reading a text, those of the second step before they are written
 What is left is checked with the whole sets; only their texts are moved, none is staged for
 the others.
 
-Only components are asked for. First every holder of a shared shingle is tried against the
+Only components are asked for. After the pairs of the anchors every holder of a shared shingle is tried against the
 smallest holder. Then, ``ROUNDS`` times, every holder is tried against the one of another
 component whose bitmap is nearest, which joins most of what is alike. In the end all pairs
 of holders that are not yet in one component are tried, so no link between components is
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 
 from faregrid.llm.components import components
 from faregrid.llm.ship import ship
-from faregrid.llm.simhash import _LOWER, _WORD, SEED
+from faregrid.llm.simhash import _LOWER, _WORD, SEED, links, majority
 from faregrid.session import staged
 
 SHINGLE = 5
@@ -72,12 +74,18 @@ def _bitmap(own: np.ndarray) -> bytes:
     return np.packbits(flips & 1).tobytes()
 
 
+def _fingerprint(own: np.ndarray) -> int:
+    """SimHash of a set, as a signed number; 0 for the empty one."""
+    fp = majority(own.astype(">u8"))
+    return fp - (1 << 64) if fp >> 63 else fp
+
+
 def _similar(common: int, a: int, b: int) -> bool:
     return common * BELOW >= ABOVE * (a + b - common)
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """``doc_id``, the ``node`` of its text, the ``size`` and the ``bits`` of its set."""
+    """``doc_id``, the ``node`` of its text, the ``size``, the ``bits`` and ``fp`` of its set."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,11 +98,12 @@ def _marked(docs: DataFrame) -> DataFrame:
                     "node": pa.array([_node(s) for s in sets], pa.int64()),
                     "size": pa.array([len(s) for s in sets], pa.int64()),
                     "bits": pa.array([_bitmap(s) for s in sets], pa.binary()),
+                    "fp": pa.array([_fingerprint(s) for s in sets], pa.int64()),
                 }
             )
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(
-        run, f"doc_id {id_type}, text_hash bigint, node bigint, size bigint, bits binary"
+        run, f"doc_id {id_type}, text_hash bigint, node bigint, size bigint, bits binary, fp bigint"
     )
 
 
@@ -316,6 +325,15 @@ def _checked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, bitmaps: bool)
     return staged(columns.mapInArrow(similar, "a bigint, b bigint"), "similar-pairs")
 
 
+def _anchored(nodes: DataFrame) -> DataFrame:
+    """Pairs ``a`` < ``b`` that span all sets whose fingerprints meet at an anchor, or are equal."""
+    held = nodes.filter("size > 0")
+    first = staged(held.groupBy("fp").agg(F.min("node").alias("node")), "fingerprint-sets")
+    equal = held.join(first.withColumnRenamed("node", "_first"), "fp").filter("node <> _first")
+    met = links(first).union(equal.select("node", "_first"))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def _mixed(shared: DataFrame, nodes: DataFrame, linked: DataFrame) -> DataFrame:
     """Holders of the shingles that stand in more than one component, with ``root`` and ``bits``."""
     found = components(linked).select(F.col("node").alias("_node"), "component")
@@ -350,9 +368,12 @@ def near_copies(docs: DataFrame) -> DataFrame:
             F.min("text_hash").alias("first_text"),
             F.first("size").alias("size"),
             F.first("bits").alias("bits"),
+            F.first("fp").alias("fp"),
         ),
         "shingle-sets",
     )
+    tried = staged(_anchored(nodes), "anchor-pairs")
+    linked = _checked(tried, nodes, docs, bitmaps=True)
     shared = staged(_shared(_prefixes(docs)), "shared-shingles")
     first = shared.groupBy("token").agg(F.min(F.struct("size", "node")).alias("_least"))
     star = (
@@ -364,8 +385,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
         )
         .distinct()
     )
-    tried = staged(star, "star-pairs")
-    linked = _checked(tried, nodes, docs, bitmaps=True)
+    met = staged(star.join(tried, ["a", "b"], "left_anti"), "star-pairs")
+    linked = linked.union(_checked(met, nodes, docs, bitmaps=True))
+    tried = tried.union(met)
     for _ in range(ROUNDS):
         held = _mixed(shared, nodes, linked)
         met = staged(_across(held, nearest=True).join(tried, ["a", "b"], "left_anti"), "nearest-pairs")

@@ -62,7 +62,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     else:
         grams = map(b" ".join, zip(*[found[i:] for i in range(shingle)], strict=False))
     hash_of = xxhash.xxh64_intdigest
-    hashes = np.asarray([hash_of(g, SEED) for g in grams], dtype=">u8")
+    return majority(np.asarray([hash_of(g, SEED) for g in grams], dtype=">u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Bit b is set where more than half of ``hashes`` (big-endian, 64 bits) have it set."""
     ones = np.zeros(64, dtype=np.int64)
     for start in range(0, len(hashes), 4096):  # bits unpacked piece by piece
         part = hashes[start : start + 4096]

@@ -7,6 +7,8 @@ import random
 import pytest
 
 from faregrid.llm import nearcopies, simhash
+from faregrid.llm.components import components
+from faregrid.session import scratch_paths
 
 
 def plain_set(text):
@@ -77,6 +79,24 @@ def test_groups_of_the_documents_equal_brute_force(spark, scale):
     assert kept == sorted(set(want.values()))
 
 
+def test_fingerprints_that_meet_at_an_anchor_are_proposed_first(spark):
+    rows = made_texts()
+    rows = [*rows, *[(5000 + i, f"{t} tail") for i, t in rows if t and len(t.split()) > 200]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets = {nearcopies._node(s): s for _, t in rows if len(s := nearcopies.shingles(t))}
+    fps = {n: nearcopies._fingerprint(s) for n, s in sets.items()}
+    close = {(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= simhash.DISTANCE}
+    nodes = spark.createDataFrame([(n, len(sets[n]), fp) for n, fp in fps.items()], "node long, size long, fp long")
+    pairs = {(r["a"], r["b"]) for r in nearcopies._anchored(nodes).collect()}
+    assert pairs and pairs <= close
+    labels = {r["node"]: r["component"] for r in components(nearcopies._anchored(nodes)).collect()}
+    assert all(labels[a] == labels[b] for a, b in close)
+    before = set(scratch_paths(spark))
+    nearcopies.near_copies(docs)
+    steps = [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in scratch_paths(spark) if p not in before]
+    assert steps.index("anchor-pairs") < steps.index("star-pairs")
+
+
 def kept_rows(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string, node string, size int")
     return sorted(((r["doc_id"], r["text"]) for r in simhash.one_of_each(docs.repartition(3)).collect()), key=str)
