@@ -70,9 +70,14 @@ def ride_hail_silver_job(spark: SparkSession, lake: Lake) -> dict[str, int]:
 
 
 def stream_silver_job(spark: SparkSession, lake: Lake, hourly_path: str) -> dict[str, int]:
-    """Silver of the raw messages; weather is joined when its file is there."""
-    parts = silver.stream_silver(
-        lake.read(spark, "bronze/messages"), readers.optional_hourly_weather(spark, hourly_path)
+    """Silver of the raw messages; weather is joined when its file is there.
+
+    Payloads are decoded once, into a table of typed messages that both branches read.
+    """
+    lake.write(silver.stream_trips(lake.read(spark, "bronze/messages")), "silver/messages_typed")
+    parts = silver.stream_branches(
+        lake.read(spark, "silver/messages_typed"),
+        readers.optional_hourly_weather(spark, hourly_path),
     )
     letters = lake.path("dead_letter/messages")
     return {

@@ -72,7 +72,11 @@ def stream_trips(envelope: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def stream_silver(envelope: DataFrame, hourly: DataFrame | None = None) -> Silver:
     """Silver of the message path; the survivor of a key is its earliest message."""
-    trips = stream_trips(envelope)
+    return stream_branches(stream_trips(envelope), hourly)
+
+
+def stream_branches(trips: DataFrame, hourly: DataFrame | None = None) -> Silver:
+    """Both branches of typed messages; stored ones are decoded once for the two."""
     rules = quality.STREAM_RULES
     kept = dedup.first_per_key(
         quality.passed(trips, rules),

@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from faregrid.operators import quality
-from faregrid.plans import onepass, silver
+from faregrid.plans import jobs, onepass, silver
 from faregrid.plans.jobs import Lake
-from faregrid.sources import counted, readers
+from faregrid.sources import counted, readers, sinks
 from faregrid.streaming import silver as stream
 from workload import adapters, inputs
 
@@ -101,6 +101,25 @@ def test_enrichment_counts_come_from_its_write(spark, lake):
         onepass.enrich_job(spark, twice)
 
 
+def test_payloads_are_decoded_once_for_both_branches(spark, tmp_path, plan_text, monkeypatch):
+    lake, plans, write = Lake(str(tmp_path)), [], sinks.replace_all
+
+    def seen(df, *args, **options):
+        plans.append(plan_text(df))
+        write(df, *args, **options)
+
+    inputs.envelope(spark, SMALL).write.parquet(lake.path("bronze/messages"))
+    monkeypatch.setattr(sinks, "replace_all", seen)
+    counts = jobs.stream_silver_job(spark, lake, str(tmp_path / "no-weather"))
+    assert len(plans) == 3 and ["from_json" in p for p in plans].count(True) == 1
+    want = silver.stream_silver(lake.read(spark, "bronze/messages"))
+    stamps = ("ingestion_timestamp", "silver_timestamp", "failure_timestamp")
+    stored = [lake.read(spark, name) for name in ("silver/messages", "dead_letter/messages")]
+    for have, plain, rows in zip(stored, (want.kept, want.dead_letters), (counts["kept"], counts["dead_letters"]), strict=True):
+        same(have.drop(*stamps), plain.drop(*stamps))
+        assert have.count() == rows > 0
+
+
 def landed(spark, folder, messages, **options):
     messages.write.mode("append").parquet(f"{folder}/landing")
     source = readers.message_folder_stream(spark, f"{folder}/landing")
