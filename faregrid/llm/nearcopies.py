@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faregrid.llm.components import components
+from faregrid.llm.components import components, grown
 from faregrid.llm.ship import ship
 from faregrid.llm.simhash import _LOWER, _WORD, SEED, links, majority
 from faregrid.session import staged
@@ -123,16 +123,18 @@ def _holders(docs: DataFrame) -> np.ndarray:
         (used,) = np.nonzero(total)
         for start in range(0, len(used), 1 << 16):
             part = used[start : start + (1 << 16)]
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array(part), "n": pa.array(total[part])})
+            yield pa.RecordBatch.from_pydict(
+                {"bucket": pa.array(part.astype(np.int32)), "n": pa.array(total[part])}
+            )
 
     table = (
         docs.select("text")
-        .mapInArrow(run, "bucket bigint, n bigint")
+        .mapInArrow(run, "bucket int, n bigint")
         .groupBy("bucket")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n"))
         .toArrow()
     )
-    counts = np.zeros(BUCKETS, dtype=np.int64)
+    counts = np.zeros(BUCKETS, dtype=np.int32)  # 32 bits halve what the driver holds
     counts[table.column("bucket").to_numpy()] = table.column("n").to_numpy()
     return counts
 
@@ -334,9 +336,9 @@ def _anchored(nodes: DataFrame) -> DataFrame:
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _mixed(shared: DataFrame, nodes: DataFrame, linked: DataFrame) -> DataFrame:
+def _mixed(shared: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
     """Holders of the shingles that stand in more than one component, with ``root`` and ``bits``."""
-    found = components(linked).select(F.col("node").alias("_node"), "component")
+    found = found.select(F.col("node").alias("_node"), "component")
     rooted = staged(
         shared.join(found, F.col("node") == F.col("_node"), "left").select(
             *shared.columns, F.coalesce("component", "node").alias("root")
@@ -387,15 +389,16 @@ def near_copies(docs: DataFrame) -> DataFrame:
     )
     met = staged(star.join(tried, ["a", "b"], "left_anti"), "star-pairs")
     linked = linked.union(_checked(met, nodes, docs, bitmaps=True))
+    found = staged(components(linked), "components")
     tried = tried.union(met)
     for _ in range(ROUNDS):
-        held = _mixed(shared, nodes, linked)
+        held = _mixed(shared, nodes, found)
         met = staged(_across(held, nearest=True).join(tried, ["a", "b"], "left_anti"), "nearest-pairs")
-        linked = linked.union(_checked(met, nodes, docs, bitmaps=False))
+        found = grown(found, _checked(met, nodes, docs, bitmaps=False))
         tried = tried.union(met)
-    rest = _across(_mixed(shared, nodes, linked)).join(tried, ["a", "b"], "left_anti")
-    linked = linked.union(_checked(rest, nodes, docs, bitmaps=False))
-    found = components(linked).select(F.col("node").alias("_node"), "component")
+    rest = _across(_mixed(shared, nodes, found)).join(tried, ["a", "b"], "left_anti")
+    found = grown(found, _checked(rest, nodes, docs, bitmaps=False))
+    found = found.select(F.col("node").alias("_node"), "component")
     member = nodes.join(found, F.col("node") == F.col("_node"), "left").select(
         "node", "first", F.coalesce("component", "node").alias("root")
     )

@@ -117,3 +117,26 @@ def test_components_of_a_star_and_a_path(spark):
     assert {r["node"]: r["component"] for r in got} == {i: 0 for i in range(60)} | {
         i: 100 for i in range(100, 161)
     }
+
+
+def test_edges_that_are_stars_need_no_round(spark):
+    from faregrid.session import scratch_paths
+
+    before = set(scratch_paths(spark))
+    edges = spark.createDataFrame([(1, n) for n in range(2, 30)] + [(40, 31), (5, 5)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components(edges).collect()}
+    assert got == {n: 1 for n in range(1, 30)} | {31: 31, 40: 31}
+    made = [p.rsplit("/", 1)[1] for p in scratch_paths(spark) if p not in before]
+    assert not [p for p in made if p.startswith("stars-")]
+
+
+@pytest.mark.parametrize("later", [0, 1, 25])
+def test_grown_components_equal_those_of_all_edges(spark, later):
+    from faregrid.llm.components import grown
+
+    rng = random.Random(later)
+    pairs = [(rng.randrange(90), rng.randrange(90)) for _ in range(40 + later)]
+    first, rest = (spark.createDataFrame(p or [], "a long, b long") for p in (pairs[:40], pairs[40:]))
+    got = grown(components(first), rest).collect()
+    want = components(first.union(rest)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
