@@ -37,6 +37,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -52,6 +53,7 @@ BLOCK_IDS = 1 << 16
 PART_IDS = 1 << 22
 KNOWN_CHUNKS = 400_000
 TOGETHER = 256
+DECODED_BYTES = 1 << 20
 
 _SAFE = re.compile(r"(?<=\S)(?= )")
 _BLANK_BLANK = re.compile(r"\s (?:\s|\Z)")
@@ -70,6 +72,16 @@ def id_type(path: str) -> np.dtype:
     return np.dtype("<u2" if _tokenizer(path).get_vocab_size() < 1 << 16 else "<u4")
 
 
+@lru_cache(maxsize=2)
+def _space_first(path: str) -> np.ndarray:
+    """Per id, whether its token begins with a space, as the byte level writes it."""
+    tokenizer = _tokenizer(path)
+    vocabulary = tokenizer.get_vocab()
+    found = np.zeros(max(vocabulary.values(), default=-1) + 1, dtype=bool)
+    found[[i for token, i in vocabulary.items() if token.startswith("\u0120")]] = True
+    return found
+
+
 class _Encoder:
     """Encodes text chunk by chunk and remembers chunks seen before.
 
@@ -81,8 +93,10 @@ class _Encoder:
     chunks of their own, and what lies between two of them is cut like a text. A text is one
     chunk where an added token takes blanks or neighbours into account.
 
-    New chunks go to the tokenizer many at a time, with a tab between them: a tab next
-    to a non-blank, or in front of a space and a non-blank, is always a match of its own.
+    New chunks go to the tokenizer many at a time. Chunks of a space and non-blanks follow one
+    another at once, as in a text: the first token of each is the only one that begins with a
+    space. Others have a tab between them: a tab next to a non-blank, or in front of a space and
+    a non-blank, is always a match of its own.
     Two generations of ``KNOWN_CHUNKS`` chunks are remembered: what was not used during
     the last generation is forgotten.
     """
@@ -90,6 +104,7 @@ class _Encoder:
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self.kind = id_type(path)
+        self.space_first = _space_first(path)
         (self.tab,) = self.tokenizer.encode("\t", add_special_tokens=False).ids
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -127,7 +142,7 @@ class _Encoder:
         if len(self.young) > KNOWN_CHUNKS:
             self.young, self.old = {}, self.young
         known, old = self.young, self.old
-        alone, joined = [], []
+        alone, joined, spaced = [], [], []
         for chunk in set(itertools.chain.from_iterable(parts)).difference(known):
             ids = old.get(chunk)
             if ids is not None:
@@ -136,22 +151,35 @@ class _Encoder:
             rest = chunk[1:] if chunk[0] == " " else chunk
             plain = rest and not rest[0].isspace() and not rest[-1].isspace()
             plain = plain and (self.cut_at_added or not any(t in chunk for t in self.added))
-            (joined if plain and "\t" not in chunk else alone).append(chunk)
+            if not plain or "\t" in chunk:
+                alone.append(chunk)
+            elif self.cut_at_added and rest is not chunk and " " not in rest:
+                spaced.append(chunk)
+            else:
+                joined.append(chunk)
         self._learn(alone, 1)
         self._learn(joined, TOGETHER)
+        self._learn(spaced, TOGETHER, between="")
         ids_of = known.__getitem__
         return [b"".join(map(ids_of, part)) for part in parts]
 
-    def _learn(self, chunks: list[str], together: int) -> None:
+    def _learn(self, chunks: list[str], together: int, between: str = "\t") -> None:
         groups = [chunks[i : i + together] for i in range(0, len(chunks), together)]
-        texts = ["\t".join(g) for g in groups]
+        texts = [between.join(g) for g in groups]
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         for group, one in zip(groups, encoded, strict=True):
             ids = np.asarray(one.ids, dtype=self.kind)
             raw, size = ids.tobytes(), self.kind.itemsize
-            cuts = np.flatnonzero(ids == self.tab) if len(group) > 1 else np.zeros(0, dtype=int)
-            begin = [0, *((cuts + 1) * size).tolist()]
-            end = [*(cuts * size).tolist(), len(raw)]
+            if between:
+                cuts = np.flatnonzero(ids == self.tab) if len(group) > 1 else np.zeros(0, dtype=int)
+                begin = [0, *((cuts + 1) * size).tolist()]
+                end = [*(cuts * size).tolist(), len(raw)]
+            else:
+                begin = (np.flatnonzero(self.space_first[ids]) * size).tolist()
+                end = [*begin[1:], len(raw)]
+                if len(begin) != len(group):  # another way to write spaces
+                    self._learn(group, 1)
+                    continue
             for chunk, lo, hi in zip(group, begin, end, strict=True):
                 self.young[chunk] = raw[lo:hi]
 
@@ -479,6 +507,21 @@ def write_blocks(coded: DataFrame, parts: int, lengths: dict[int, int], path: st
     )
 
 
+def _together(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of blocks that are decoded side by side: of one stride, and
+    about ``DECODED_BYTES`` of payload."""
+    start = held = 0
+    strides = batch.column("stride").to_pylist()
+    for row, size in enumerate(pc.binary_length(batch.column("payload")).to_pylist()):
+        if row > start and (held + size > DECODED_BYTES or strides[row] != strides[start]):
+            yield start, row - start
+            start = row
+            held = 0
+        held += size
+    if batch.num_rows:
+        yield start, batch.num_rows - start
+
+
 def read_blocks(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """Per document, from the files: ``start``, ``n_tokens``, ``ids_crc32``; packed ``ids`` on request."""
     blocks = spark.read.parquet(f"{path}/blocks")
@@ -489,14 +532,19 @@ def read_blocks(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = CodeBook(shared.value)
         for batch in batches:
-            for row in range(batch.num_rows):
-                cell = {name: batch.column(name)[row] for name in batch.schema.names}
-                counts = np.asarray(cell["counts"].as_py(), dtype=np.int64)
+            for start, rows in _together(batch):
+                part = batch.slice(start, rows)
+                n_docs, n_checks = (
+                    pc.list_value_length(part.column(c)).to_numpy() for c in ("counts", "checkpoints")
+                )
+                payloads = part.column("payload").to_pylist()
+                begin = np.cumsum([0, *map(len, payloads)])[:-1] * 8
+                counts = part.column("counts").flatten().to_numpy()
                 ids = book.unpack(
-                    cell["payload"].as_py(),
-                    cell["checkpoints"].values.to_numpy(),
+                    b"".join(payloads),
+                    part.column("checkpoints").flatten().to_numpy() + np.repeat(begin, n_checks),
                     counts,
-                    cell["stride"].as_py(),
+                    part.column("stride")[0].as_py(),
                 )
                 ends = np.cumsum(counts)
                 whole = memoryview(ids.astype("<u4", copy=False).tobytes())
@@ -504,10 +552,14 @@ def read_blocks(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
                     whole[4 * (end - n) : 4 * end]
                     for end, n in zip(ends.tolist(), counts.tolist(), strict=True)
                 ]
+                # ids in front of a document within its own block
+                before = ends - counts
+                before -= np.repeat(before[np.cumsum(n_docs) - n_docs], n_docs)
+                first = np.repeat(part.column("first").to_numpy(), n_docs)
                 columns = {
-                    "part": pa.array([cell["part"].as_py()] * len(raw), pa.int32()),
-                    "place": pa.array(cell["first"].as_py() + ends - counts, pa.int64()),
-                    "doc_id": cell["doc_ids"].values,
+                    "part": pa.array(np.repeat(part.column("part").to_numpy(), n_docs)),
+                    "place": pa.array(first + before),
+                    "doc_id": part.column("doc_ids").flatten(),
                     "n_tokens": pa.array(counts, pa.int64()),
                     "ids_crc32": pa.array([zlib.crc32(r) for r in raw], pa.int64()),
                 }

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -206,3 +207,35 @@ def test_ids_of_any_type_and_hot_ids(spark, monkeypatch):
     assert [r["start"] for r in got] == np.cumsum([0, *[r["n_tokens"] for r in got]])[:-1].tolist()
     nulls = spark.read.parquet(f"{files}/blocks").selectExpr("part", "explode(doc_ids) AS id")
     assert nulls.filter("id IS NULL").select("part").distinct().count() > 1
+
+
+class Recording:
+    """A tokenizer that keeps the texts it was given."""
+
+    def __init__(self, inner):
+        self.inner, self.seen = inner, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.seen.extend(texts)
+        return self.inner.encode_batch_fast(texts, **options)
+
+
+def test_new_chunks_with_a_space_need_nothing_between():
+    text = "One two, three é漢 it's 4,5\nsix <|endoftext|> seven\n eight"
+    encoder = huffman._Encoder(VOCABULARY)
+    want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    encoder.tokenizer = recording = Recording(encoder.tokenizer)
+    (raw,) = encoder.encode([text])
+    assert np.frombuffer(raw, encoder.kind).tolist() == want
+    (spaced,) = [t for t in recording.seen if " two," in t]
+    assert "\t" not in spaced and all(c in spaced for c in (" three", " é漢", " it's"))
+
+
+def test_blocks_are_decoded_side_by_side(monkeypatch):
+    monkeypatch.setattr(huffman, "DECODED_BYTES", 10)
+    rows = [(4, 256), (6, 256), (1, 256), (1, 128), (30, 128), (2, 128)]
+    batch = pa.RecordBatch.from_pydict(
+        {"payload": [b"x" * n for n, _ in rows], "stride": [s for _, s in rows]}
+    )
+    assert list(huffman._together(batch)) == [(0, 2), (2, 1), (3, 1), (4, 1), (5, 1)]
+    assert list(huffman._together(batch.slice(0, 0))) == []
