@@ -5,6 +5,10 @@ arrival time of messages has passed it by ``delay``. Arrival times come from the
 wrong time inside a payload cannot move the watermark. A failing row has its place in the topic
 and its content for a key, so only the same message twice counts as a repeat.
 
+The state has a row per key of the delay. It lies on the disks of the executors (RocksDB) within
+``STATE_SETTINGS``, not in their heap, of which a restarted query would need two copies. A
+setting the session has already, and the store a checkpoint was begun with, go first.
+
 Every micro-batch is one write, kept rows and dead letters side by side, into the folder of
 its batch number. A batch that is repeated after a failure replaces its folder: nothing is
 written twice, whichever step the failure came after. Counts of a batch are written after
@@ -17,7 +21,8 @@ finds them in the raw table, for they are in no branch.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
@@ -35,6 +40,13 @@ DELAY = "1 day"
 BATCH = "batch"
 ARRIVED = "kafka_timestamp"
 RULES = quality.STREAM_RULES
+_STORE = "spark.sql.streaming.stateStore"
+STATE_SETTINGS = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
+    # a look-up per key, only for a number nobody reads
+    f"{_STORE}.rocksdb.trackTotalNumberOfRows": "false",
+}
 _OWN = "__own_key"
 
 
@@ -77,6 +89,19 @@ def batch_writer(
     return write
 
 
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """``STATE_SETTINGS`` for queries started meanwhile, which keep the settings they start with."""
+    own = [key for key in STATE_SETTINGS if spark.conf.get(key, None) is None]
+    for key in own:
+        spark.conf.set(key, STATE_SETTINGS[key])
+    try:
+        yield
+    finally:
+        for key in own:
+            spark.conf.unset(key)
+
+
 def start_silver(
     messages: DataFrame,
     path: str,
@@ -94,9 +119,9 @@ def start_silver(
         .writeStream.foreachBatch(batch_writer(path, counts, fmt, between))
         .option("checkpointLocation", checkpoint)
     )
-    return (
-        writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=interval)
-    ).start()
+    writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=interval)
+    with _state_on_disk(messages.sparkSession):
+        return writer.start()
 
 
 def drain_silver(messages: DataFrame, path: str, counts: str, checkpoint: str, **options) -> dict[str, int]:

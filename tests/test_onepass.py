@@ -149,6 +149,28 @@ def test_stream_equals_the_batch_over_two_restarts(spark, tmp_path):
     assert stream.missing(envelope, have).isEmpty()
 
 
+HEAP_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+@pytest.mark.parametrize("begun", [None, HEAP_STORE])
+def test_state_of_the_stream_lies_on_disk(spark, tmp_path, begun):
+    own = {key: spark.conf.get(key, None) for key in stream.STATE_SETTINGS}
+    store = next(key for key in own if key.endswith("providerClass"))
+    once, again, _ = sent(spark)
+    if begun:
+        spark.conf.set(store, begun)
+    try:
+        landed(spark, tmp_path, once, delay="9000 days")
+    finally:
+        if begun:
+            spark.conf.unset(store)
+    gone = landed(spark, tmp_path, again, delay="9000 days")
+    kinds = {p.suffix for p in tmp_path.glob("state/state/0/*/*")}
+    assert (".zip" in kinds) == (begun is None) and (".delta" in kinds) == (begun is not None)
+    assert gone["repeated"] > 0
+    assert {key: spark.conf.get(key, None) for key in own} == own
+
+
 def test_late_rows_are_counted_and_found(spark, tmp_path):
     once, _, envelope = sent(spark)
     newest = once.agg(F.max("timestamp")).first()[0]
