@@ -32,6 +32,7 @@ import itertools
 import os
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -51,8 +52,12 @@ LIMIT = 16
 STRIDE = 256
 BLOCK_IDS = 1 << 16
 PART_IDS = 1 << 22
-KNOWN_CHUNKS = 400_000
+KNOWN_CHUNKS = 500_000
 TOGETHER = 256
+MARKS = ",.;:!?"
+OLD_LETTERS = "\u0530"  # letters and digits below are so for the tables of any library
+ENCODED_BYTES = 6 << 20
+_SPACE = pa.scalar(" ", pa.large_string())
 DECODED_BYTES = 1 << 20
 
 _SAFE = re.compile(r"(?<=\S)(?= )")
@@ -83,11 +88,16 @@ def _space_first(path: str) -> np.ndarray:
 
 
 class _Encoder:
-    """Encodes text chunk by chunk and remembers chunks seen before.
+    """Encodes text word by word and remembers words seen before.
 
-    A chunk ends before a space that follows a non-blank or is followed by one; the
-    byte-level pre-splitting never joins such places, so ids of chunks put together are
-    the ids of the text. Texts with a space between blanks are cut after non-blanks only.
+    Arrow splits the texts of a column at spaces and in front of line ends, and numbers equal
+    words; ``words`` has the number of " word" (or of the word, if a line end is in front), and
+    ``raw`` that of other chunks. The byte-level pre-splitting never joins at a space between
+    two non-blanks, and takes a line end by itself next to a non-blank, so ids of words put
+    together are the ids of the text. A text with a word that is odd, because it is empty, has
+    another blank at its ends or holds an added token, or with three line ends in a row, is cut by
+    ``chunks``: a chunk ends before a space that follows a non-blank or is followed by one.
+    Texts with a space between blanks are cut after non-blanks only.
 
     The library cuts a text at the strings of added tokens before anything else, so they are
     chunks of their own, and what lies between two of them is cut like a text. A text is one
@@ -97,8 +107,10 @@ class _Encoder:
     another at once, as in a text: the first token of each is the only one that begins with a
     space. Others have a tab between them: a tab next to a non-blank, or in front of a space and
     a non-blank, is always a match of its own.
-    Two generations of ``KNOWN_CHUNKS`` chunks are remembered: what was not used during
-    the last generation is forgotten.
+    A mark of ``MARKS`` behind a letter or digit at the end of a chunk is a match of its own, too,
+    and one id, so the ids of a word tell those of the word with a mark and the other way round.
+
+    Beyond ``KNOWN_CHUNKS`` the more frequent half of them is kept, of those seen twice.
     """
 
     def __init__(self, path: str):
@@ -106,8 +118,7 @@ class _Encoder:
         self.kind = id_type(path)
         self.space_first = _space_first(path)
         (self.tab,) = self.tokenizer.encode("\t", add_special_tokens=False).ids
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        (self.line_end,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         added = list(self.tokenizer.get_added_tokens_decoder().values())
         self.added = sorted((t.content for t in added), key=len, reverse=True)
         longest_first = "|".join(map(re.escape, self.added))
@@ -116,6 +127,24 @@ class _Encoder:
             t.lstrip or t.rstrip or t.single_word or t.normalized or re.search(r"\s", t.content)
             for t in added
         )
+        self.marks = {}
+        for mark in MARKS if self.cut_at_added else "":
+            ids = self.tokenizer.encode(mark, add_special_tokens=False).ids
+            if len(ids) == 1:
+                self.marks[mark] = ids[0]
+        self.begin, self.size, self.hits = (np.zeros(1 << 16, dtype=np.int64) for _ in range(3))
+        self.odd = np.zeros(1 << 16, dtype=bool)
+        self.ids = np.zeros(1 << 18, dtype=self.kind)
+        self._reset()
+
+    def _reset(self) -> None:
+        fresh = itertools.count().__next__
+        self.words: defaultdict[str, int] = defaultdict(fresh)
+        self.raw: defaultdict[str, int] = defaultdict(fresh)
+        self.raw[""]  # an empty chunk has no ids
+        self.seen_words, self.seen_raw, self.held = 0, 1, 0
+        self.hits[:] = 0
+        self.odd[:] = False
 
     def chunks(self, text: str) -> list[str]:
         if not any(content in text for content in self.added):
@@ -138,50 +167,235 @@ class _Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        parts = [self.chunks(t) for t in texts]
-        if len(self.young) > KNOWN_CHUNKS:
-            self.young, self.old = {}, self.young
-        known, old = self.young, self.old
-        alone, joined, spaced = [], [], []
-        for chunk in set(itertools.chain.from_iterable(parts)).difference(known):
-            ids = old.get(chunk)
-            if ids is not None:
-                known[chunk] = ids
-                continue
+        ids, ends = self.encode_column(pa.array(texts, pa.large_string()))
+        raw, width = ids.tobytes(), self.kind.itemsize
+        return [raw[a * width : b * width] for a, b in itertools.pairwise([0, *ends.tolist()])]
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts (null: empty) one after another, and where those of each text end."""
+        if len(self.words) + len(self.raw) > KNOWN_CHUNKS:
+            self._forget()
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if self.cut_at_added:
+            numbers, last, slow = self._by_words(texts)
+        else:
+            numbers, last = np.zeros(0, dtype=np.int64), np.zeros(len(texts) + 1, dtype=np.int64)
+            slow = np.ones(len(texts), dtype=bool)
+        if slow.any():
+            parts = [self.chunks(t) for t in texts.filter(pa.array(slow)).to_pylist()]
+            counts = np.diff(last)
+            fast = numbers[np.repeat(~slow, counts)]
+            counts[slow] = [len(p) for p in parts]
+            last = np.r_[0, np.cumsum(counts)]
+            by_chunks = np.repeat(slow, counts)
+            numbers = np.empty(last[-1], dtype=np.int64)
+            numbers[~by_chunks] = fast
+            numbers[by_chunks] = [self._number(c) for part in parts for c in part]
+        self._learn_new()
+        known = len(self.words) + len(self.raw)
+        self.hits[:known] += np.bincount(numbers, minlength=known)
+        ids, ends = self._gather(numbers)
+        return ids, np.r_[0, ends][last[1:]]
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of all words, where those of each text end, and texts that need ``chunks``."""
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        last = split.offsets.to_numpy().astype(np.int64)
+        coded = split.values.dictionary_encode()
+        listed = pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary)
+        distinct = pc.binary_join(listed, _SPACE)[0].as_py().split(" ") if len(texts) else []
+        before = len(self.words) + len(self.raw)
+        of_distinct = _numbers(self.words, distinct)
+        self._room()
+        fresh = np.flatnonzero(of_distinct >= before).tolist()
+        # what can be printed has no blank but a space, and words have no space
+        holds = self._holds_added("\n".join([distinct[i] for i in fresh]))
+        odd = [i for i in fresh if holds or not distinct[i].isprintable() or not distinct[i]]
+        self.odd[of_distinct[[i for i in odd if self._is_odd(distinct[i])]]] = True
+        codes = coded.indices.to_numpy()
+        numbers = of_distinct[codes]
+        odd = self.odd[of_distinct]
+        bad = odd[codes] if odd.any() else np.zeros(len(codes), dtype=bool)
+        if "\n" in self.words:
+            line_end = numbers == self.words["\n"]
+            bad[1:] |= line_end[1:] & line_end[:-1]
+        # the first word of a text has nothing in front
+        heads = split.values.take(pa.array(last[:-1])).to_pylist()
+        numbers[last[:-1]] = _numbers(self.raw, heads)
+        bad[last[:-1]] = [w != "" and (w[-1].isspace() or self._holds_added(w)) for w in heads]
+        slow = np.add.reduceat(bad, last[:-1], dtype=np.int64) > 0 if len(texts) else bad
+        return numbers, last, slow
+
+    def _holds_added(self, text: str) -> bool:
+        return any(content in text for content in self.added)
+
+    def _number(self, chunk: str) -> int:
+        word = chunk[1:]
+        if chunk[:1] == " " and self.cut_at_added and " " not in word and not self._is_odd(word):
+            if word[0] != "\n":
+                return self.words[word]
+        return self.raw[chunk]
+
+    def _is_odd(self, word: str) -> bool:
+        if word == "\n":
+            return False
+        rest = word[1:] if word[:1] == "\n" else word
+        return not rest or rest[0].isspace() or rest[-1].isspace() or self._holds_added(rest)
+
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks one after another, and where those of each chunk end."""
+        size = self.size[numbers]
+        ends = np.cumsum(size)
+        place = np.repeat(self.begin[numbers] - ends + size, size)
+        place += np.arange(len(place))
+        return self.ids[place], ends
+
+    def _store(
+        self, numbers: np.ndarray | list[int], ids: np.ndarray, begin: np.ndarray, end: np.ndarray
+    ) -> None:
+        while self.held + len(ids) > len(self.ids):
+            self.ids = np.r_[self.ids, np.zeros_like(self.ids)]
+        self.ids[self.held : self.held + len(ids)] = ids
+        self.begin[numbers] = begin + self.held
+        self.size[numbers] = end - begin
+        self.held += len(ids)
+
+    def _room(self) -> None:
+        while len(self.words) + len(self.raw) > len(self.size):
+            self.begin, self.size, self.hits, self.odd = (
+                np.r_[a, np.zeros_like(a)] for a in (self.begin, self.size, self.hits, self.odd)
+            )
+
+    def _learn_new(self) -> None:
+        """Ids of what has a number since the last time and is not odd."""
+        spaced, alone, joined, after_line = [], [], [], []
+        new = _latest(self.words, self.seen_words)
+        odd = set(np.flatnonzero(self.odd[: len(self.words) + len(self.raw)]).tolist())
+        if odd:
+            new = [one for one in new if one[1] not in odd]
+        asked, ended, marked = self._by_marks(self.words, new)
+        for one in asked:
+            word, number = one
+            if word.isprintable():
+                spaced.append(one)
+            elif word[0] == "\n":
+                after_line.append((number, self.raw[word[1:]]))
+            else:
+                (alone if "\t" in word else joined).append((" " + word, number))
+        new = _latest(self.raw, self.seen_raw)
+        asked, raw_ended, raw_marked = self._by_marks(self.raw, new)
+        for one in asked:
+            chunk = one[0]
             rest = chunk[1:] if chunk[0] == " " else chunk
             plain = rest and not rest[0].isspace() and not rest[-1].isspace()
-            plain = plain and (self.cut_at_added or not any(t in chunk for t in self.added))
-            if not plain or "\t" in chunk:
-                alone.append(chunk)
-            elif self.cut_at_added and rest is not chunk and " " not in rest:
-                spaced.append(chunk)
-            else:
-                joined.append(chunk)
+            plain = plain and (self.cut_at_added or not self._holds_added(chunk))
+            (joined if plain and "\t" not in chunk else alone).append(one)
+        self._room()
+        self._learn(spaced, TOGETHER, between=" ")
         self._learn(alone, 1)
         self._learn(joined, TOGETHER)
-        self._learn(spaced, TOGETHER, between="")
-        ids_of = known.__getitem__
-        return [b"".join(map(ids_of, part)) for part in parts]
-
-    def _learn(self, chunks: list[str], together: int, between: str = "\t") -> None:
-        groups = [chunks[i : i + together] for i in range(0, len(chunks), together)]
-        texts = [between.join(g) for g in groups]
+        self._put_marks(raw_ended, raw_marked)
+        if after_line:
+            numbers, rest = np.asarray(after_line).T
+            ids, ends = self._gather(rest)
+            begin, shift = np.r_[0, ends[:-1]], np.arange(len(ends))
+            ids = np.insert(ids, begin, self.line_end)
+            self._store(numbers, ids, begin + shift, ends + shift + 1)
+        self._put_marks(ended, marked)
+        self.seen_words, self.seen_raw = len(self.words), len(self.raw)
+
+    def _by_marks(self, known: defaultdict, new: list[tuple[str, int]]) -> tuple[list, list, list]:
+        """What the library is asked for; what of this tells the ids of the same without its
+        mark; what is known but for its mark."""
+        asked, ended, marked = [], [], []
+        marks = self.marks
+        for one in new:
+            chunk, number = one
+            if chunk[-1] in marks and chunk[-2:-1].isalnum() and chunk[-2] < OLD_LETTERS:
+                bare = known.get(chunk[:-1])
+                if chunk in self.added:
+                    pass
+                elif bare is None:
+                    ended.append((number, known[chunk[:-1]]))
+                else:
+                    marked.append((number, bare, marks[chunk[-1]]))
+                    continue
+            asked.append(one)
+        return asked, ended, marked
+
+    def _put_marks(self, ended: list[tuple], marked: list[tuple]) -> None:
+        if ended:
+            whole, bare = np.asarray(ended).T
+            self.begin[bare], self.size[bare] = self.begin[whole], self.size[whole] - 1
+        if marked:
+            numbers, bare, mark = np.asarray(marked).T
+            ids, ends = self._gather(bare)
+            ids = np.insert(ids, ends, mark)
+            ends += np.arange(1, len(ends) + 1)
+            self._store(numbers, ids, np.r_[0, ends[:-1]], ends)
+
+    def _learn(self, asked: list[tuple[str, int]], together: int, between: str = "\t") -> None:
+        """Ids of chunks; with a space ``between`` them, of words behind a space each."""
+        groups = [asked[i : i + together] for i in range(0, len(asked), together)]
+        front = " " if between == " " else ""
+        texts = [front + between.join([chunk for chunk, _ in g]) for g in groups]
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         for group, one in zip(groups, encoded, strict=True):
             ids = np.asarray(one.ids, dtype=self.kind)
-            raw, size = ids.tobytes(), self.kind.itemsize
-            if between:
-                cuts = np.flatnonzero(ids == self.tab) if len(group) > 1 else np.zeros(0, dtype=int)
-                begin = [0, *((cuts + 1) * size).tolist()]
-                end = [*(cuts * size).tolist(), len(raw)]
-            else:
-                begin = (np.flatnonzero(self.space_first[ids]) * size).tolist()
-                end = [*begin[1:], len(raw)]
+            if front:
+                begin = np.flatnonzero(self.space_first[ids])
+                end = np.r_[begin[1:], len(ids)]
                 if len(begin) != len(group):  # another way to write spaces
-                    self._learn(group, 1)
+                    self._learn([(front + word, number) for word, number in group], 1)
                     continue
-            for chunk, lo, hi in zip(group, begin, end, strict=True):
-                self.young[chunk] = raw[lo:hi]
+            else:
+                cuts = np.flatnonzero(ids == self.tab) if together > 1 else np.zeros(0, int)
+                begin, end = np.r_[0, cuts + 1], np.r_[cuts, len(ids)]
+            if len(begin) != len(group):
+                raise ValueError(f"{len(begin)} chunks found again of {len(group)}")
+            self._store([number for _, number in group], ids, begin, end)
+
+    def _forget(self) -> None:
+        known = len(self.words) + len(self.raw)
+        hits = np.where(self.odd[:known], 0, self.hits[:known])
+        hits[0] = 0
+        keep = np.flatnonzero(hits > 1)
+        keep = keep[np.argsort(-hits[keep], kind="stable")][: KNOWN_CHUNKS // 2]
+        hits[:] = 0
+        hits[keep] = 1
+        kept = [[k for k, i in each.items() if hits[i]] for each in (self.words, self.raw)]
+        numbers = np.r_[_numbers(self.words, kept[0]), _numbers(self.raw, kept[1])]
+        ids, ends = self._gather(numbers)
+        self._reset()
+        numbers = np.r_[_numbers(self.words, kept[0]), _numbers(self.raw, kept[1])]
+        self._store(numbers, ids, np.r_[0, ends][:-1], ends)
+        self.seen_words, self.seen_raw = len(self.words), len(self.raw)
+
+
+def _numbers(known: defaultdict, chunks: list[str]) -> np.ndarray:
+    return np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+
+
+def _latest(known: defaultdict, seen: int) -> list[tuple[str, int]]:
+    return list(itertools.islice(reversed(known.items()), len(known) - seen))[::-1]
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> _Encoder:
+    """One for all tasks of a worker, since the next task has many of the same words."""
+    return _Encoder(path)
+
+
+def _of_bytes(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of stretches of about ``most`` bytes, a row at least."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        before = ends[start] - sizes[start]
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield start, stop - start
+        start = stop
 
 
 def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
@@ -191,7 +405,6 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Da
     per id from 0) in place of ids, so that they need not be read again to be counted.
     """
     kind = docs.schema["doc_id"].dataType
-    end = np.asarray([end_id], dtype=id_type(tokenizer_path)).tobytes()
     schema = pa.schema(
         [
             ("doc_id", to_arrow_type(kind)),
@@ -203,21 +416,24 @@ def token_rows(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Da
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(tokenizer_path)
+        encoder = _encoder(tokenizer_path)
         total = np.zeros(encoder.tokenizer.get_vocab_size(), dtype=np.int64)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                ids = encoder.encode([t or "" for t in part.column("text").to_pylist()])
-                ids = [i + end for i in ids]
-                whole = np.frombuffer(b"".join(ids), dtype=encoder.kind)
+            for start, rows in _of_bytes(batch.column("text"), ENCODED_BYTES):
+                part = batch.slice(start, rows)
+                ids, ends = encoder.encode_column(part.column("text"))
+                whole = np.insert(ids, ends, end_id)
                 total += np.bincount(whole, minlength=len(total))
+                last = np.r_[0, ends + np.arange(1, rows + 1)]
+                cuts = last * encoder.kind.itemsize
+                raw = whole.tobytes()
+                own = [raw[lo:hi] for lo, hi in itertools.pairwise(cuts.tolist())]
                 columns = [
                     part.column("doc_id"),
-                    pa.array([len(i) // len(end) for i in ids], pa.int64()),
-                    pa.array([zlib.crc32(i) for i in ids], pa.int64()),
-                    pa.array(ids, pa.binary()),
-                    pa.nulls(len(ids), pa.binary()),
+                    pa.array(np.diff(last), pa.int64()),
+                    pa.array([zlib.crc32(i) for i in own], pa.int64()),
+                    pa.array(own, pa.binary()),
+                    pa.nulls(rows, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
         if total.any():
@@ -295,21 +511,21 @@ class CodeBook:
     """Canonical codes from lengths: shorter first, then by id."""
 
     def __init__(self, lengths: dict[int, int]):
-        order = sorted(lengths, key=lambda i: (lengths[i], i))
-        size = max(order, default=-1) + 1
+        ids = np.fromiter(lengths, np.int64, len(lengths))
+        widths = np.fromiter(lengths.values(), np.int64, len(lengths))
+        order = np.lexsort((ids, widths))
+        ids, widths = ids[order], widths[order]
+        size = int(ids.max(initial=-1)) + 1
         self.lengths = np.zeros(size, dtype=np.int64)
         self.codes = np.zeros(size, dtype=np.int64)
         self.bits = max(lengths.values(), default=1)
+        # all prefixes that begin with a code stand together, in the order of the codes
+        prefixes = 1 << (self.bits - widths)
+        self.lengths[ids] = widths
+        self.codes[ids] = (np.cumsum(prefixes) - prefixes) >> (self.bits - widths)
         # id and width of the code at each prefix, in one number: one look-up per id
         self.table = np.zeros(1 << self.bits, dtype=np.uint32)
-        code = last = 0
-        for i in order:
-            code <<= lengths[i] - last
-            last = lengths[i]
-            self.codes[i], self.lengths[i] = code, last
-            low = code << (self.bits - last)
-            self.table[low : low + (1 << (self.bits - last))] = i << 5 | last
-            code += 1
+        self.table[: int(prefixes.sum())] = np.repeat(ids << 5 | widths, prefixes)
 
     def pack(
         self, ids: np.ndarray, counts: np.ndarray, stride: int = STRIDE

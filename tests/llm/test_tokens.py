@@ -231,6 +231,62 @@ def test_new_chunks_with_a_space_need_nothing_between():
     assert "\t" not in spaced and all(c in spaced for c in (" three", " é漢", " it's"))
 
 
+def test_words_with_marks_and_line_ends_need_no_new_call():
+    encoder = huffman._Encoder(VOCABULARY)
+    library = encoder.tokenizer
+    encoder.tokenizer = recording = Recording(library)
+    encoder.encode(["All of one text, then another.", "of one"])
+    recording.seen.clear()
+    text = "All of, text. another\none text\n\nof text? then; one: another!"
+    (raw,) = encoder.encode([text])
+    want = library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(raw, encoder.kind).tolist() == want
+    # all known but a word that was never at the head of a line
+    assert recording.seen == ["one"]
+
+
+WORDS = ["the", "of", "it's", "3.5", "a,", "b.", "é!", "漢,", "end.\n", "\n", "", " ", "\t", "x\ty",
+         "\u00a0", "\u3000.", "\x1c", "'re,", "...", "?!", "\0", "<|endoftext|>", "<|endoftext|>.", "²;", "A"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(WORDS), max_size=8), min_size=1, max_size=6), st.data())
+def test_columns_of_texts_keep_the_ids(lists, data):
+    texts = [data.draw(st.sampled_from([" ", "", "\n"])).join(words) for words in lists]
+    encoder, library = _SMALL[0], huffman._tokenizer(VOCABULARY)
+    column = pa.array([None, *texts, None])
+    ids, ends = encoder.encode_column(column)
+    got = [part.tolist() for part in np.split(ids, ends)]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in column.to_pylist()]
+    assert got == [*want, []]
+
+
+_SMALL = [huffman._Encoder(VOCABULARY)]  # its words grow from example to example
+
+
+def test_forgetting_keeps_the_ids(monkeypatch):
+    monkeypatch.setattr(huffman, "KNOWN_CHUNKS", 60)
+    encoder, rng = huffman._Encoder(VOCABULARY), random.Random(5)
+    library = huffman._tokenizer(VOCABULARY)
+    for _ in range(100):
+        texts = [
+            "".join(rng.choice(WORDS) + rng.choice(["", " ", " ", "\n", f" n{rng.randint(0, 99)},"]) for _ in range(9))
+            for _ in range(4)
+        ]
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(r, encoder.kind).tolist() for r in encoder.encode(texts)] == want
+    assert len(encoder.words) + len(encoder.raw) < 200
+    assert encoder.encode([]) == []
+
+
+def test_stretches_of_a_column():
+    column = pa.array(["ab", None, "abcd", "x" * 50, "", "a"])
+    assert list(huffman._of_bytes(column, 6)) == [(0, 3), (3, 1), (4, 2)]
+    assert list(huffman._of_bytes(column.slice(2, 2), 6)) == [(0, 1), (1, 1)]
+    assert list(huffman._of_bytes(column.slice(0, 0), 6)) == []
+    assert huffman._encoder(VOCABULARY) is huffman._encoder(VOCABULARY)
+
+
 def test_blocks_are_decoded_side_by_side(monkeypatch):
     monkeypatch.setattr(huffman, "DECODED_BYTES", 10)
     rows = [(4, 256), (6, 256), (1, 256), (1, 128), (30, 128), (2, 128)]
