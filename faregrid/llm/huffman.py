@@ -33,7 +33,7 @@ import os
 import re
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -94,10 +94,11 @@ class _Encoder:
     words; ``words`` has the number of " word" (or of the word, if a line end is in front), and
     ``raw`` that of other chunks. The byte-level pre-splitting never joins at a space between
     two non-blanks, and takes a line end by itself next to a non-blank, so ids of words put
-    together are the ids of the text. A text with a word that is odd, because it is empty, has
-    another blank at its ends or holds an added token, or with three line ends in a row, is cut by
-    ``chunks``: a chunk ends before a space that follows a non-blank or is followed by one.
-    Texts with a space between blanks are cut after non-blanks only.
+    together are the ids of the text. Words that are odd, because they are empty or have another
+    blank at their ends, and three line ends in a row are cut before a blank that follows a
+    non-blank only. A text with an added token is cut by ``chunks``: a chunk ends before a space
+    that follows a non-blank or is followed by one, after non-blanks only if the text has a space
+    between blanks.
 
     The library cuts a text at the strings of added tokens before anything else, so they are
     chunks of their own, and what lies between two of them is cut like a text. A text is one
@@ -133,7 +134,7 @@ class _Encoder:
             if len(ids) == 1:
                 self.marks[mark] = ids[0]
         self.begin, self.size, self.hits = (np.zeros(1 << 16, dtype=np.int64) for _ in range(3))
-        self.odd = np.zeros(1 << 16, dtype=bool)
+        self.odd, self.holds, self.open = (np.zeros(1 << 16, dtype=bool) for _ in range(3))
         self.ids = np.zeros(1 << 18, dtype=self.kind)
         self._reset()
 
@@ -142,9 +143,10 @@ class _Encoder:
         self.words: defaultdict[str, int] = defaultdict(fresh)
         self.raw: defaultdict[str, int] = defaultdict(fresh)
         self.raw[""]  # an empty chunk has no ids
+        self.by_chunk = _Chunks(self._number)
         self.seen_words, self.seen_raw, self.held = 0, 1, 0
         self.hits[:] = 0
-        self.odd[:] = False
+        self.odd[:] = self.holds[:] = self.open[:] = False
 
     def chunks(self, text: str) -> list[str]:
         if not any(content in text for content in self.added):
@@ -190,7 +192,7 @@ class _Encoder:
             by_chunks = np.repeat(slow, counts)
             numbers = np.empty(last[-1], dtype=np.int64)
             numbers[~by_chunks] = fast
-            numbers[by_chunks] = [self._number(c) for part in parts for c in part]
+            numbers[by_chunks] = _numbers(self.by_chunk, list(itertools.chain(*parts)))
         self._learn_new()
         known = len(self.words) + len(self.raw)
         self.hits[:known] += np.bincount(numbers, minlength=known)
@@ -210,20 +212,42 @@ class _Encoder:
         fresh = np.flatnonzero(of_distinct >= before).tolist()
         # what can be printed has no blank but a space, and words have no space
         holds = self._holds_added("\n".join([distinct[i] for i in fresh]))
-        odd = [i for i in fresh if holds or not distinct[i].isprintable() or not distinct[i]]
-        self.odd[of_distinct[[i for i in odd if self._is_odd(distinct[i])]]] = True
-        codes = coded.indices.to_numpy()
+        for i in fresh:
+            word = distinct[i]
+            if (holds or not word.isprintable() or not word) and self._is_odd(word):
+                self.odd[of_distinct[i]] = True
+                self.holds[of_distinct[i]] = self._holds_added(word)
+                self.open[of_distinct[i]] = not word or word[-1].isspace()
+        codes, head = coded.indices.to_numpy(), last[:-1]
         numbers = of_distinct[codes]
-        odd = self.odd[of_distinct]
-        bad = odd[codes] if odd.any() else np.zeros(len(codes), dtype=bool)
-        if "\n" in self.words:
-            line_end = numbers == self.words["\n"]
-            bad[1:] |= line_end[1:] & line_end[:-1]
+        slow = np.zeros(len(texts), dtype=bool)
+        if self.holds[of_distinct].any():
+            slow = np.add.reduceat(self.holds[numbers], head, dtype=np.int64) > 0
+        line_end = self.words.get("\n", -1)
+        joined = odd = None
+        if self.odd[of_distinct].any() or line_end >= 0:
+            # a text can be cut before a blank that follows a non-blank
+            odd, line, opened = self.odd[numbers], numbers == line_end, self.open[numbers]
+            opened |= line
+            opened[head] &= numbers[head] != self.words.get("", -1)
+            joined = np.r_[False, opened[:-1]]
+            joined[head] = False
+            joined[1:] &= ~(line[:-1] & ~joined[:-1] & ~line[1:] & ~odd[1:])
         # the first word of a text has nothing in front
-        heads = split.values.take(pa.array(last[:-1])).to_pylist()
-        numbers[last[:-1]] = _numbers(self.raw, heads)
-        bad[last[:-1]] = [w != "" and (w[-1].isspace() or self._holds_added(w)) for w in heads]
-        slow = np.add.reduceat(bad, last[:-1], dtype=np.int64) > 0 if len(texts) else bad
+        heads = split.values.take(pa.array(head)).to_pylist()
+        numbers[head] = _numbers(self.raw, ["" if s else w for w, s in zip(heads, slow.tolist())])
+        if joined is not None and (joined.any() or odd.any()):
+            odd[head] = False
+            first = np.flatnonzero(~joined)
+            size = np.diff(np.r_[first, len(joined)])
+            own = (odd[first] | (size > 1)) & ~np.repeat(slow, np.diff(last))[first]
+            is_head = np.zeros(len(joined), dtype=bool)
+            is_head[head] = True
+            for at, n in zip(first[own].tolist(), size[own].tolist()):
+                words = [distinct[i] for i in codes[at : at + n].tolist()]
+                chunk = "".join([w if w[:1] == "\n" else " " + w for w in words])
+                numbers[at] = self.raw[chunk[1:] if is_head[at] and words[0][:1] != "\n" else chunk]
+            numbers, last = numbers[first], np.r_[0, np.cumsum(~joined)][last]
         return numbers, last, slow
 
     def _holds_added(self, text: str) -> bool:
@@ -262,8 +286,9 @@ class _Encoder:
 
     def _room(self) -> None:
         while len(self.words) + len(self.raw) > len(self.size):
-            self.begin, self.size, self.hits, self.odd = (
-                np.r_[a, np.zeros_like(a)] for a in (self.begin, self.size, self.hits, self.odd)
+            arrays = (self.begin, self.size, self.hits, self.odd, self.holds, self.open)
+            self.begin, self.size, self.hits, self.odd, self.holds, self.open = (
+                np.r_[a, np.zeros_like(a)] for a in arrays
             )
 
     def _learn_new(self) -> None:
@@ -372,7 +397,19 @@ class _Encoder:
         self.seen_words, self.seen_raw = len(self.words), len(self.raw)
 
 
-def _numbers(known: defaultdict, chunks: list[str]) -> np.ndarray:
+class _Chunks(dict):
+    """Numbers of chunks; the first time by a function."""
+
+    def __init__(self, number: Callable[[str], int]):
+        super().__init__()
+        self.number = number
+
+    def __missing__(self, chunk: str) -> int:
+        found = self[chunk] = self.number(chunk)
+        return found
+
+
+def _numbers(known: dict[str, int], chunks: list[str]) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
 
 

@@ -245,6 +245,18 @@ def test_words_with_marks_and_line_ends_need_no_new_call():
     assert recording.seen == ["one"]
 
 
+def test_only_the_place_of_two_blanks_is_new():
+    encoder = huffman._Encoder(VOCABULARY)
+    library = encoder.tokenizer
+    encoder.tokenizer = recording = Recording(library)
+    encoder.encode(["some words here are"])
+    recording.seen.clear()
+    text = "some words  here are words"
+    (raw,) = encoder.encode([text])
+    assert np.frombuffer(raw, encoder.kind).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert recording.seen == ["  here"]
+
+
 WORDS = ["the", "of", "it's", "3.5", "a,", "b.", "é!", "漢,", "end.\n", "\n", "", " ", "\t", "x\ty",
          "\u00a0", "\u3000.", "\x1c", "'re,", "...", "?!", "\0", "<|endoftext|>", "<|endoftext|>.", "²;", "A"]
 
