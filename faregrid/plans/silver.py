@@ -66,8 +66,12 @@ def enriched_metered(kept: DataFrame, hourly: DataFrame) -> DataFrame:
     return with_weather(kept, hourly)
 
 
+def stream_features(decoded: DataFrame) -> DataFrame:
+    return with_time_features(decoded, "pickup_datetime", STREAM_RUSH)
+
+
 def stream_trips(envelope: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return with_time_features(decode_payload(envelope, keep), "pickup_datetime", STREAM_RUSH)
+    return stream_features(decode_payload(envelope, keep))
 
 
 def stream_silver(envelope: DataFrame, hourly: DataFrame | None = None) -> Silver:

@@ -6,8 +6,10 @@ wrong time inside a payload cannot move the watermark. A failing row has its pla
 and its content for a key, so only the same message twice counts as a repeat.
 
 The state has a row per key of the delay. It lies on the disks of the executors (RocksDB) within
-``STATE_SETTINGS``, not in their heap, of which a restarted query would need two copies. A
-setting the session has already, and the store a checkpoint was begun with, go first.
+``STATE_SETTINGS``, not in their heap, of which a restarted query would need two copies. A run
+that drains a backlog opens a partition of the state for its task only (``DRAIN_SETTINGS``), so
+one packed copy lies in the checkpoint and hardly any beside it. A setting the session has
+already, and the store a checkpoint was begun with, go first.
 
 Every micro-batch is one write, kept rows and dead letters side by side, into the folder of
 its batch number. A batch that is repeated after a failure replaces its folder: nothing is
@@ -31,9 +33,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from faregrid.operators import dedup, quality
-from faregrid.operators.envelope import raw_envelope
+from faregrid.operators.envelope import decode_payload, raw_envelope
 from faregrid.plans.onepass import FAILED, KEPT, OUTCOME, branches
-from faregrid.plans.silver import Silver, stream_trips
+from faregrid.plans.silver import Silver, stream_features, stream_trips
 from faregrid.streaming.ingest import BATCH_INTERVAL
 
 DELAY = "1 day"
@@ -46,20 +48,46 @@ STATE_SETTINGS = {
     f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
     # a look-up per key, only for a number nobody reads
     f"{_STORE}.rocksdb.trackTotalNumberOfRows": "false",
+    f"{_STORE}.rocksdb.compression": "zstd",
+    # else some 4 MB are set aside for every partition of the state, each time it is opened
+    f"{_STORE}.rocksdb.allowFAllocate": "false",
+}
+# a partition of the state leaves the disk of its executor when its task ends
+DRAIN_SETTINGS = {f"{_STORE}.unloadOnCommit": "true"}
+BATCH_SETTINGS = {
+    # shuffle files go when their batch ends, not when the driver collects its garbage
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 _OWN = "__own_key"
+_STAMPS = ("ingestion_timestamp", "silver_timestamp")
+
+
+def _flagged(decoded: DataFrame) -> DataFrame:
+    return quality.with_flags(stream_features(decoded), RULES)
 
 
 def judged(messages: DataFrame, delay: str = DELAY) -> DataFrame:
-    """Messages with flags and outcome, each business key once within ``delay``."""
-    flagged = quality.with_flags(stream_trips(raw_envelope(messages), keep=[ARRIVED]), RULES)
-    content = [c for c in flagged.columns if c not in ("ingestion_timestamp", "silver_timestamp")]
+    """Messages with flags and outcome, each business key once within ``delay``.
+
+    Only typed fields and keys are shuffled: features and flags are taken again behind the
+    state, and the two stamps are one moment of the whole batch.
+    """
+    decoded = decode_payload(raw_envelope(messages), keep=[ARRIVED])
+    flagged = _flagged(decoded)
+    content = [c for c in flagged.columns if c not in _STAMPS]
     own = F.concat_ws(":", "kafka_partition", "kafka_offset", F.xxhash64(*content))
-    return (
+    once = (
         flagged.withColumn(_OWN, F.when(~F.col("is_valid"), own))
+        .select(*[c for c in decoded.columns if c not in _STAMPS], _OWN)
         .withWatermark(ARRIVED, delay)
         .dropDuplicatesWithinWatermark([*dedup.STREAM_KEYS, _OWN])
         .drop(_OWN)
+    )
+    stamped = once.withColumns(dict.fromkeys(_STAMPS, F.current_timestamp()))
+    return (
+        _flagged(stamped)
+        .select(*flagged.columns)
         .withColumn(OUTCOME, F.when(F.col("is_valid"), KEPT).otherwise(FAILED))
     )
 
@@ -90,11 +118,11 @@ def batch_writer(
 
 
 @contextmanager
-def _state_on_disk(spark: SparkSession) -> Iterator[None]:
-    """``STATE_SETTINGS`` for queries started meanwhile, which keep the settings they start with."""
-    own = [key for key in STATE_SETTINGS if spark.conf.get(key, None) is None]
+def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """``settings`` for queries started meanwhile, which keep the settings they start with."""
+    own = [key for key in settings if spark.conf.get(key, None) is None]
     for key in own:
-        spark.conf.set(key, STATE_SETTINGS[key])
+        spark.conf.set(key, settings[key])
     try:
         yield
     finally:
@@ -120,7 +148,8 @@ def start_silver(
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=interval)
-    with _state_on_disk(messages.sparkSession):
+    settings = STATE_SETTINGS | BATCH_SETTINGS | (DRAIN_SETTINGS if drain else {})
+    with _settings(messages.sparkSession, settings):
         return writer.start()
 
 

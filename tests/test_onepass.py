@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -171,6 +172,45 @@ def test_state_of_the_stream_lies_on_disk(spark, tmp_path, begun):
     assert {key: spark.conf.get(key, None) for key in own} == own
 
 
+def on_disk(spark) -> dict[str, set[str]]:
+    """Shuffle files and opened partitions of a state in the local folders of the session."""
+    jvm = spark._jvm.org.apache.spark
+    blocks = jvm.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    own = jvm.util.Utils.getLocalDir(spark.sparkContext._jsc.sc().conf())
+    return {
+        "shuffle": {str(p) for d in blocks for p in Path(d).rglob("shuffle_*")},
+        "state": {str(p) for p in Path(own).glob("StateStoreId*")},
+    }
+
+
+def test_a_drained_stream_leaves_neither_shuffle_files_nor_state_on_the_executors(spark, tmp_path):
+    once, again, _ = sent(spark)
+    before = on_disk(spark)
+    for part in (once, again):
+        assert landed(spark, tmp_path, part, delay="9000 days")["late"] == 0
+    left = {kind: found - before[kind] for kind, found in on_disk(spark).items()}
+    assert left == {"shuffle": set(), "state": set()}
+    assert {p.name.split(".", 1)[1] for p in tmp_path.rglob("silver/**/part-*")} == {"c000.zstd.parquet"}
+
+
+def test_features_and_flags_are_no_part_of_the_shuffle_of_the_stream(spark, tmp_path):
+    once, _, _ = sent(spark)
+    once.write.parquet(f"{tmp_path}/landing")
+    source = readers.message_folder_stream(spark, f"{tmp_path}/landing")
+    query = stream.start_silver(source, *[f"{tmp_path}/{x}" for x in ("silver", "counts", "state")], drain=True)
+    query.awaitTermination()
+    nodes, moved = [query._jsq.streamingQuery().lastExecution().executedPlan()], set()
+    while nodes:
+        node = nodes.pop()
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Exchange":
+            moved |= set(node.schema().fieldNames())
+    assert {"fare_amount", "kafka_offset", "kafka_timestamp"} < moved
+    flags = {rule.flag for rule in quality.STREAM_RULES} | {"is_valid"}
+    features = {"pickup_hour", "pickup_month", "pickup_year", "pickup_dow", "is_weekend", "is_rush_hour"}
+    assert not moved & (flags | features | {"ingestion_timestamp", "silver_timestamp"})
+
+
 def test_late_rows_are_counted_and_found(spark, tmp_path):
     once, _, envelope = sent(spark)
     newest = once.agg(F.max("timestamp")).first()[0]

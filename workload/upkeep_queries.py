@@ -98,7 +98,7 @@ def _streamed(spark: SparkSession, parts: list[DataFrame], delay: str, between=N
     """The messages of each part land and are drained, one run of the stream after the other."""
     folder, gone = scratch_path(spark, "stream"), []
     for part in parts:
-        part.write.mode("append").parquet(f"{folder}/landing")
+        part.write.mode("append").option("compression", "zstd").parquet(f"{folder}/landing")
         source = readers.message_folder_stream(spark, f"{folder}/landing")
         places = (f"{folder}/silver", f"{folder}/counts", f"{folder}/state")
         try:
